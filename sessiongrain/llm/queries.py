@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessiongrain.llm import near_duplicates
+from sessiongrain.llm import near_duplicates, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": near_duplicates.op1_simhash_near_dedup,
+    "op7_token_binary_output": token_files.op7_token_binary_output,
+    "op8_token_counts": token_counts.op8_token_counts,
 }
 
 SQL: dict[str, str] = {}
