@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +67,23 @@ def word_count(text: Column) -> Column:
 def row_key(doc_id: Column, text: Column) -> Column:
     """Equal for rows that agree in id and text, never null; such rows get the same result anyway."""
     return F.struct(F.coalesce(doc_id, F.lit(-1)).alias("a"), doc_id.isNull().alias("b"), F.xxhash64(text).alias("c"), F.coalesce(F.length(text), F.lit(-1)).alias("d"))
+
+
+ROW = ["__sg_file", "__sg_row"]
+
+
+def with_row_id(docs: DataFrame) -> DataFrame:
+    """docs with two columns that identify a row, the same at every evaluation.
+
+    Parquet and other file tables name their rows themselves (file and index in it). Any other input is
+    numbered and written to the shared folder once.
+    """
+    try:
+        return docs.select("*", F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1]))
+    except AnalysisException:
+        return cut(docs.select("*", F.lit(0).cast("long").alias(ROW[0]), F.monotonically_increasing_id().alias(ROW[1])), "numbered")
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once a row even where body uses it within lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
