@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessiongrain.llm import mixing, near_duplicates, token_counts, token_files
+from sessiongrain.llm import mixing, near_duplicates, secrets, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": near_duplicates.op1_simhash_near_dedup,
     "op7_token_binary_output": token_files.op7_token_binary_output,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_source_mixing": mixing.op9_source_mixing,
+    "op10_secret_scan": secrets.op10_secret_scan,
 }
 
 SQL: dict[str, str] = {}
