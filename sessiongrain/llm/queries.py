@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessiongrain.llm import mixing, near_duplicates, secrets, token_counts, token_files
+from sessiongrain.llm import mixing, near_duplicates, quality, secrets, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": near_duplicates.op1_simhash_near_dedup,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op4_quality_rules": quality.op4_quality_rules,
 }
 
 SQL: dict[str, str] = {}
