@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessiongrain.llm import mixing, near_duplicates, quality, secrets, token_counts, token_files
+from sessiongrain.llm import licenses, mixing, near_duplicates, quality, secrets, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": near_duplicates.op1_simhash_near_dedup,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_secret_scan": secrets.op10_secret_scan,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op2_license_scan": licenses.op2_license_scan,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_license_scan": licenses._sql()}
