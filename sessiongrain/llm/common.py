@@ -6,7 +6,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +77,10 @@ def with_row_id(docs: DataFrame) -> DataFrame:
     Parquet and other file tables name their rows themselves (file and index in it). Any other input is
     numbered and written to the shared folder once.
     """
-    try:
+    hidden = docs._jdf.queryExecution().analyzed().metadataOutput()
+    if [hidden.apply(i).name() for i in range(hidden.size())] == ["_metadata"]:
         return docs.select("*", F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1]))
-    except AnalysisException:
-        return cut(docs.select("*", F.lit(0).cast("long").alias(ROW[0]), F.monotonically_increasing_id().alias(ROW[1])), "numbered")
+    return cut(docs.select("*", F.lit(0).cast("long").alias(ROW[0]), F.monotonically_increasing_id().alias(ROW[1])), "numbered")
 
 
 def let(value: Column, body) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessiongrain.llm import licenses, mixing, near_duplicates, quality, secrets, token_counts, token_files
+from sessiongrain.llm import licenses, line_runs, mixing, near_duplicates, quality, secrets, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": near_duplicates.op1_simhash_near_dedup,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": secrets.op10_secret_scan,
     "op4_quality_rules": quality.op4_quality_rules,
     "op2_license_scan": licenses.op2_license_scan,
+    "op6_line_run_dedup": line_runs.op6_line_run_dedup,
 }
 
-SQL: dict[str, str] = {"op2_license_scan": licenses._sql()}
+SQL: dict[str, str] = {"op2_license_scan": licenses._sql(), "op6_line_run_dedup": line_runs.SQL}
