@@ -38,8 +38,6 @@ class PieceCounter:
         self.counts: dict[str, int] = {}
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.counts) + len(new) > self.entries:
-            self.counts.clear()
         # " word": the model adds the space itself. "word" at a line's start: behind a newline, less that space and the newline.
         # A lone space is what stands before a newline at a text's start; an empty text gets no space at all.
         spaced = [x for x in new if x[0] == " " and x != " "]
@@ -70,10 +68,13 @@ class PieceCounter:
         for a in range(0, len(texts), 100):
             rows = [self.frequencies(t) if t else (Counter(), 0) for t in texts[a : a + 100]]
             known = self.counts
-            if new := list({w for found, _ in rows for w in found if w not in known}):
+            distinct = {w for found, _ in rows for w in found}
+            new = [w for w in distinct if w not in known]
+            if len(known) + len(new) > self.entries:
+                known.clear()
+                new = list(distinct)
+            if new:
                 self._learn(new)
-                if len(self.counts) == len(new):  # the table was emptied
-                    self._learn([w for w in {w for found, _ in rows for w in found} if w not in self.counts])
             out += [sum([n * known[w] for w, n in found.items()]) + ends for found, ends in rows]
         return out
 
