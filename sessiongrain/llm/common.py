@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -51,6 +52,12 @@ def discard(*frames: DataFrame | None) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished steps now, not when the driver next collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches by rows and bytes, so that very long texts do not meet in one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

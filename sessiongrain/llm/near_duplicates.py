@@ -129,7 +129,8 @@ def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int = 3, seed: int =
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes and the offsets of a string column; nulls are empty."""
-    column = column.cast(pa.large_string()).fill_null("")
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = column.cast(pa.large_binary() if binary else pa.large_string()).fill_null(b"" if binary else "")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
