@@ -103,25 +103,25 @@ def bootstrap_interval(rows: DataFrame, hit: str, cluster: str, key: str, replic
     Rows become one pair of sums a cluster; every replicate draws each cluster a Poisson(1) number of times,
     which needs no list of clusters in one place: partial sums of (replicate) vectors meet by key.
     """
-    sums = rows.groupBy(key, cluster).agg(F.sum(F.col(hit).cast("long")).alias("k"), F.count("*").alias("n"))
+    sums = rows.groupBy(key, cluster).agg(F.sum(F.col(hit).cast("long")).alias("__k"), F.count("*").alias("__n"))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, group in pdf.groupby(key, sort=False, dropna=False):
                 k = np.zeros(replicates)
                 n = np.zeros(replicates)
-                for c, a, b in zip(group[cluster], group["k"], group["n"], strict=True):
+                for c, a, b in zip(group[cluster], group["__k"], group["__n"], strict=True):
                     # A cluster's draws depend on its name alone, not on where it is computed.
-                    w = np.random.default_rng([seed, abs(hash_text(str(c)))]).poisson(1.0, replicates)
+                    w = np.random.default_rng([seed, hash_text(str(c))]).poisson(1.0, replicates)
                     k += w * a
                     n += w * b
-                yield pd.DataFrame({key: [name] * replicates, "replicate": np.arange(replicates), "k": k, "n": n})
+                yield pd.DataFrame({key: [name] * replicates, "__r": np.arange(replicates), "__k": k, "__n": n})
 
     kind = rows.schema[key].dataType.simpleString()
-    drawn = sums.mapInPandas(draw, f"{key} {kind}, replicate int, k double, n double").groupBy(key, "replicate").agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
-    share = F.col("k") / F.nullif(F.col("n"), F.lit(0.0))
-    both = drawn.groupBy(key).agg(F.percentile(share, F.array(F.lit(0.025), F.lit(0.975))).alias("q"))
-    return both.select(key, F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
+    drawn = sums.mapInPandas(draw, f"{key} {kind}, __r int, __k double, __n double").groupBy(key, "__r").agg(F.sum("__k").alias("__k"), F.sum("__n").alias("__n"))
+    share = F.col("__k") / F.nullif(F.col("__n"), F.lit(0.0))
+    both = drawn.groupBy(key).agg(F.percentile(share, F.array(F.lit(0.025), F.lit(0.975))).alias("__q"))
+    return both.select(key, F.col("__q")[0].alias("low"), F.col("__q")[1].alias("high"))
 
 
 def hash_text(text: str) -> int:

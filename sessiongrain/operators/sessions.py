@@ -163,5 +163,6 @@ def coverage(positions: DataFrame, ranges: DataFrame, key: list[str], position:
 def sessionize(events: DataFrame, user: str, time: str, gap_seconds: int) -> DataFrame:
     """An extension: sessions by gaps, numbered from 1 for each user."""
     order = Window.partitionBy(user).orderBy(time, "event_id")
-    gap = F.col(time).cast("double") - F.lag(F.col(time).cast("double")).over(order)
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    gap = (at - F.lag(at).over(order)) / 1e6
     return events.withColumn("session_no", F.sum(F.when(gap.isNull() | (gap > gap_seconds), 1).otherwise(0)).over(order))
