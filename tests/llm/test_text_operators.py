@@ -1,0 +1,313 @@
+import collections
+import hashlib
+import io
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sessiongrain.llm import decontamination as dc
+from sessiongrain.llm import licenses, line_runs, mixing, quality, repeats, secrets
+from sessiongrain.llm import token_counts as tc
+from sessiongrain.llm import token_files as tf
+
+P = pytest.importorskip("public_tokenizers")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+HARD = ["", " ", "  a", "a  b\n\n c ", "\n", "\nfoo bar\n", "<s> x </s> <|endoftext|>abc<|endoftext|>", "it's we'll 'tis don't 12a3.4-x", "İstanbul ΣΑΣ ς", "x\x1cy\x1d z\x85w\xa0v", "é ́a KK", "a▁b ▁ c", "\t tab\x0b\x0c\r\n", "😀 중국어 한", "ab..., (x) [y]!! ##$$", "É" * 50 + ".", "a \n b", "\x00 a\x00b", "ﬁ ǅ ẞ"]
+
+
+def brute_repeats(docs, length):
+    places = collections.defaultdict(list)
+    raw = [(t or "").encode() for _, t in docs]
+    for k, b in enumerate(raw):
+        for i in range(len(b) - length + 1):
+            places[b[i : i + length]].append((k, i))
+    marks = [bytearray(len(b)) for b in raw]
+    for found in places.values():
+        if len(found) > 1:
+            for k, i in found:
+                marks[k][i : i + length] = b"\1" * length
+    out = []
+    for (d, _), b, m in zip(docs, raw, marks, strict=True):
+        kept = bytes(x for x, y in zip(b, m, strict=True) if not y)
+        out.append((d, len(b), sum(m), sum(1 for i in range(len(m)) if m[i] and (i == 0 or not m[i - 1])), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def repeat_corpus(seed):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdeé ") for _ in range(rnd.randint(1, 9)))
+    base = [" ".join(word() for _ in range(60)) for _ in range(5)]
+    docs = []
+    for i in range(40):
+        parts = []
+        for _ in range(rnd.randint(0, 4)):
+            x = rnd.choice(base)
+            a = rnd.randint(0, len(x) // 2)
+            parts.append(x[a : a + rnd.randint(10, len(x))] if rnd.random() < 0.7 else " ".join(word() for _ in range(rnd.randint(1, 30))))
+        docs.append((i, "".join(parts)))
+    return docs + [(100, None), (101, ""), (102, "a" * 300), (103, "ab" * 200), (104, "a" * 39), (105, base[0]), (105, base[0]), (None, "b" * 40)]
+
+
+@pytest.mark.parametrize(("length", "local"), [(40, 512), (40, 2), (64, 3)])
+def test_repeats_equal_brute_force(spark, length, local):
+    docs = repeat_corpus(length + local)
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("spans", F.lit(1)).withColumn("core", F.lit("x"))
+    got = [tuple(r)[:5] for r in repeats.remove_repeats(df, length, local=local).collect()]
+    assert sorted(got, key=repr) == brute_repeats(docs, length)
+
+
+def test_repeats_of_nothing(spark):
+    assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string"), 40).count() == 0
+
+
+@pytest.mark.parametrize("run_lines", [1, 2, 3])
+def test_line_runs_equal_brute_force(spark, run_lines):
+    rnd = random.Random(run_lines)
+    docs = [(i, "\n".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 10)))) for i in range(30)] + [(100, None), (101, ""), (102, "\n\n\n"), (103, "x\ny"), (104, "x\ny")]
+    places = collections.defaultdict(list)
+    for d, t in docs:
+        lines = t.split("\n") if t is not None else []
+        for i in range(len(lines) - run_lines + 1):
+            places[tuple(lines[i : i + run_lines])].append((d, i))
+    gone = {(d, i + k) for found in places.values() for d, i in sorted(found)[1:] for k in range(run_lines)}
+    want = {d: "" if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in docs}
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("rank", F.lit(0))
+    assert {r["doc_id"]: r["kept_text"] for r in line_runs.deduplicated(df, run_lines).collect()} == want
+    assert line_runs.deduplicated(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op2_license_scan", "op6_line_run_dedup"])
+def test_sql_agrees(spark, sf_dir, name):
+    from sessiongrain.llm.queries import QUERIES, SQL
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    ours, theirs = QUERIES[name](spark, sf_dir).toPandas(), con.sql(SQL[name]).df()
+    columns = sorted(ours.columns)
+    assert columns == sorted(theirs.columns)
+    as_rows = lambda df: sorted(map(repr, df[columns].astype(object).where(df[columns].notna(), None).itertuples(index=False, name=None)))
+    assert as_rows(ours) == as_rows(theirs)
+
+
+def test_licenses_meet_across_spellings(spark):
+    body = next(iter(licenses.NOTICES["Apache-2.0"]))
+    rows = [(1, body), (2, "  licensed UNDER the apache license -- version 2.0 "), (3, "Copyright (c) 2020 Me\n" + body + "\nAll rights reserved."), (4, "prose\n" + body + "\nmore"), (5, None), (6, "..."), (None, body.replace("License", "Licence"))]
+    got = {r["doc_id"]: (r["license"], r["notices"]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string").withColumn("license", F.lit("x"))).collect()}
+    assert got[1] == got[2] == got[3] == got[None] == ("Apache-2.0", "Apache-2.0")
+    assert got[4] == (None, "Apache-2.0") and got[5] == got[6] == (None, "")
+
+
+def brute_quality(text):
+    text = text or ""
+    words, seen = WORD.findall(text), collections.defaultdict(list)
+    for i in range(len(words) - 4):
+        seen[tuple(words[i : i + 5])].append(i)
+    inside = {i + k for at in seen.values() if len(at) > 1 for i in at for k in range(5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(inside), len(words) < 10 or 100 * len(inside) > 20 * len(words)
+
+
+def test_quality_counts_and_outliers(spark):
+    rnd = random.Random(5)
+    clean = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 8))) for _ in range(n)) + "."
+    docs = [(i, clean(rnd.randint(30, 300)), "en", "s") for i in range(150)]
+    docs += [(1000 + i, " ".join(w + "%%%" for w in clean(80).split()), "en", "s") for i in range(5)]
+    docs += [(2000, None, None, None), (2001, "", "en", "s"), (2002, "a b c d e " * 9, "de", None), (2003, "\n \n x\nx\n", "en", "s"), (2004, clean(40), None, "t"), (2004, "\x85\xa0 É x\x0by", "fr", "s")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").withColumn("v0", F.lit("clash")).withColumn("grp", F.lit(0))
+    out = quality.judged(df).collect()
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert sorted((r["doc_id"], *[r[n] for n in names]) for r in out) == sorted((d, *brute_quality(t)) for d, t, _, _ in docs)
+    kept = {r["doc_id"]: r["kept"] for r in out}
+    assert all(kept[i] for i in range(150)) and not any(kept[1000 + i] for i in range(5)) and kept[2004] is not None
+    left = quality.drop_low_quality(df)
+    assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} >= set(range(150))
+    assert quality.judged(df.limit(0)).count() == 0
+    assert quality.judged(spark.createDataFrame([(1, "x")], "doc_id long, text string")).first()["kept"] is False
+
+
+def test_concentration_finds_the_bulk(spark):
+    """A quarter of far points does not move the estimate: the centre stays at the bulk."""
+    rng = np.random.default_rng(6)
+    bulk, far = rng.normal(0, 1, (300, 4)), rng.normal(20, 1, (90, 4))
+    df = spark.createDataFrame([("g", *map(float, x)) for x in [*bulk, *far]], "grp string, v0 double, v1 double, v2 double, v3 double")
+    row = quality.mcd_estimates(df).first()
+    assert all(abs(row[f"m{i}"]) < 0.4 for i in range(4))
+    scored = quality._with_estimate(df, quality.mcd_estimates(df)).collect()
+    assert sum(r["d2"] > quality.CUTOFF for r in scored) == 90
+
+
+def test_edit_distance_and_pieces():
+    rnd = random.Random(7)
+    for _ in range(150):
+        item = bytes(rnd.choice(b"abc ") for _ in range(rnd.randint(1, 30)))
+        text = bytes(rnd.choice(b"abc ") for _ in range(rnd.randint(0, 50)))
+        row = [0] * (len(text) + 1)
+        for i, a in enumerate(item, 1):
+            new = [i]
+            for j, b in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
+            row = new
+        assert dc.best_match(item, text)[0] == min(row)
+        assert b"".join(p for _, p in dc.pieces(item)) == item and len(dc.pieces(item)) == dc.budget(len(item)) + 1
+
+
+def test_decontamination(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 8)))
+    items = [(i, " ".join(word() for _ in range(30))) for i in range(6)] + [(90, "tiny"), (91, None), (92, "")]
+    noise = lambda: " ".join(word() for _ in range(50))
+    damaged = list(items[1][1])
+    for at in rnd.sample(range(len(damaged)), dc.budget(len(damaged)) - 1):
+        damaged[at] = "z"
+    docs = [(0, noise() + " " + items[0][1].upper().replace(" ", " -\n") + " " + noise()), (1, noise() + " " + "".join(damaged) + noise()), (2, noise()), (3, None), (4, ""), (None, items[2][1]), (5, items[3][1][: len(items[3][1]) // 2]), (6, items[4][1] + " . " + items[4][1]), (6, items[4][1] + " . " + items[4][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (dc.BLOCK_BYTES, 100):
+        got = sorted(((r["doc_id"], r["item_id"], r["n_places"]) for r in dc.contaminated(df, bench, block_bytes=block).collect()), key=repr)
+        assert got == sorted([(0, 0, 1), (1, 1, 1), (None, 2, 1), (6, 4, 2), (6, 4, 2)], key=repr)
+    assert sorted(r["doc_id"] for r in dc.drop_contaminated(df, bench).collect()) == [2, 3, 4, 5]
+    assert dc.contaminated(df, bench.limit(0)).count() == 0 and dc.contaminated(df.limit(0), bench).count() == 0
+
+
+def test_packing_round_trip():
+    rng = np.random.default_rng(9)
+    for bits in (1, 5, 13, 16, 17, 20, 32):
+        for n in (0, 1, 7, 4096, 9001):
+            ids = rng.integers(0, 1 << bits, n, dtype=np.uint32)
+            assert (tf.round_trip(ids, bits, 100) == ids).all()
+            assert len(tf.pack(ids, bits)) == -(-n * bits // 8)
+    out = io.BytesIO()
+    ids = rng.integers(0, 1 << 11, 5000, dtype=np.uint32)
+    tf.write_file(out, [None, 4], [3000, 2000], ids, 11, 64)
+    out.seek(0)
+    held = tf.TokenFile(out)
+    assert (held.ids(2990, 3100) == ids[2990:3100]).all() and held.null_ids.tolist() == [True, False] and held.first.tolist() == [0, 3000, 5000]
+    assert tf.bits_for(49408) == 16 and tf.bits_for(1) == 1 and tf.bits_for(65537) == 17
+
+
+def test_word_encoder_equals_library():
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    whole, ours = Tokenizer.from_file(path), tf.WordEncoder(path, 7)
+    for text in HARD:
+        assert np.frombuffer(ours(text), ours.kind).tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_token_files(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tf, "FILE_IDS", 50)
+    path = P.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    docs = [(i * 7 % 40, t) for i, t in enumerate(HARD)] + [(100, None), (None, "first"), (101, "same"), (101, "same")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("start", F.lit("clash"))
+    got = sorted(tf.token_files(df, path).collect(), key=lambda r: r["start"])
+    at = 0
+    for r, (d, t) in zip(got, sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0)), strict=True):
+        ids = [*whole.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+    assert tf.token_files(df.limit(0), path).count() == 0
+
+
+@pytest.mark.parametrize("entries", [3, 100_000])
+def test_piece_counts_equal_library(entries):
+    import sentencepiece
+
+    path = P.path("piece_bpe_32k.model")
+    whole = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [*HARD, *[" ".join(HARD[i:]) for i in range(len(HARD))]]
+    assert tc.PieceCounter(path, entries).count(texts) == [len(x) for x in whole.encode(texts)]
+
+
+def test_token_counts(spark):
+    df = spark.createDataFrame([(1, "a b"), (None, None), (2, ""), (2, "x " * 5000)], "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
+    got = sorted(((r["doc_id"], r["n_bytes"], r["over_limit"]) for r in tc.token_counts(df, P.path("piece_bpe_32k.model")).collect()), key=repr)
+    assert got == sorted([(1, 3, False), (None, 0, False), (2, 0, False), (2, 10000, True)], key=repr)
+
+
+def brute_targets(sizes, weights=(3, 1, 2)):
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    w = {s: weights[i % 3] for i, s in enumerate(order)}
+    left, target, open_ = 1.5 * sum(sizes.values()), {}, set(order)
+    while over := [s for s in open_ if left * w[s] / sum(w[x] for x in open_) > 2 * sizes[s]]:
+        for s in over:
+            target[s] = 2.0 * sizes[s]
+            open_.discard(s)
+        left = 1.5 * sum(sizes.values()) - sum(target.values())
+    return target | {s: left * w[s] / sum(w[x] for x in open_) for s in open_}
+
+
+@pytest.mark.parametrize("block", [1, 7, 512])
+def test_mixing(spark, block):
+    rnd = random.Random(10)
+    docs = [(i, " ".join("w" for _ in range(rnd.randint(0, 60))), rnd.choice(["a", "b", "é", "z", None])) for i in range(120)] + [(None, "x y", "a"), (500, None, "q"), (501, "", "q"), (7, "d d d", "b"), (7, "d d d", "b")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumn("size", F.lit("clash")).withColumn("block", F.lit(1))
+    out = mixing.mixed_sizes(df, block).collect()
+    sizes = collections.Counter()
+    for _, t, s in docs:
+        sizes[s] += len(WORD.findall(t or ""))
+    taken, got = collections.Counter(), {}
+    assert len(out) == len(docs) and all(0 <= r["taken"] <= 2 * r["size"] for r in out)
+    want = brute_targets(sizes)
+    per_source = df.select("doc_id", "source").distinct()
+    for r in out:
+        got[r["source_size"], r["target"]] = got.get((r["source_size"], r["target"]), 0) + r["taken"]
+    for s, t in want.items():
+        match = [v for (n, x), v in got.items() if n == sizes[s] and abs(x - t) < 1e-6]
+        assert match and (abs(match[0] - t) <= 0.5 or len(match) > 1 or sum(1 for q in want if abs(want[q] - t) < 1e-6) > 1)
+    assert per_source.count() and not taken
+    again = mixing.mixed_sizes(df.repartition(5), block)
+    assert again.count() == len(docs)
+    assert mixing.mixed_sizes(df.limit(0)).count() == 0
+
+
+def test_mixed_documents_hold_the_words_taken(spark):
+    docs = [(i, " ".join(f"d{i}w{k}" for k in range(i % 9 * 5)) + "\n", ["a", "b", "c"][i % 3]) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mixed_sizes(df, 8).collect()}
+    rows = mixing.mix_documents(df, 8).collect()
+    assert {r["doc_id"]: len(WORD.findall(r["text"])) for r in rows} == {d: n for d, n in taken.items() if n}
+    assert all(r["n_chars"] == len(r["text"]) and set(WORD.findall(r["text"])) <= set(dict((d, t) for d, t, _ in docs)[r["doc_id"]].split()) for r in rows)
+
+
+ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute_secrets(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def test_secrets(spark):
+    rnd = random.Random(11)
+    bits = ["token", "TOKEN", "passwd", "password", "secret", "api_key", "ApiKey", "=", ":", " ", '"', "'", "abcdef", "x", "AKIA", "ABCDEFGHIJ123456", "0123456789abcdef", "😀", "é", "\n", "ghp_" + "a" * 36]
+    texts = [None, "", *["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 25))) for _ in range(150)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("found", F.lit("clash"))
+    for r in secrets.scan(df).collect():
+        base = [(x["start"], x["order"], x["end"]) for x in r["found"] if x["order"] < 3]
+        assert base == brute_secrets(texts[r["doc_id"]]), texts[r["doc_id"]]
+    assert secrets.scan(df.limit(0)).count() == 0
+
+
+def test_trigram_queries():
+    q = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.RULES}
+    assert q["hex"] is None and q["access"] == ("and", ("aki", "kia"))
+    assert secrets.trigram_query("(?:ab)?cde") == ("or", (("and", ("abc", "bcd", "cde")), "cde")) and secrets.trigram_query("a[bc]d+") == ("or", ("abd", "acd"))
+    assert secrets.trigram_query("x|yzw") is None
+
+    def holds(query, text):
+        return query is None or (query in text if isinstance(query, str) else (all if query[0] == "and" else any)(holds(p, text) for p in query[1]))
+
+    samples = {"assign": ['Api_Key: "abcdefg', "passwd=abcdefg"], "private_key": ["-----BEGIN RSA PRIVATE KEY-----"], "hub_token": ["gho_" + "b" * 36], "chat_token": ["xoxb-" + "1" * 12], "bearer": ["Bearer " + "a" * 24], "url_login": ["http://u:pwd@h"]}
+    for kind, texts in samples.items():
+        assert all(holds(q[kind], t.lower()) for t in texts)
