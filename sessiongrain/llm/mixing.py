@@ -12,8 +12,9 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_COPIES = 2
 BLOCK_WORDS = 512
-#: Rows that one bucket of the distributed prefix sums holds on average.
-BUCKET_ROWS = 8192
+#: Rows that one bucket of the distributed prefix sums holds on average, until there are MOST_BUCKETS a source.
+BUCKET_ROWS = 256
+MOST_BUCKETS = 1 << 16
 SEED = 7
 
 
@@ -68,7 +69,7 @@ def mix(sizes: DataFrame, block_words: int = BLOCK_WORDS, shards: int = 64) -> t
     document that the last pass takes. slots: source, block, passes, words, shard.
     """
     n = sizes.count()
-    buckets = max(1, n // BUCKET_ROWS)
+    buckets = max(1, min(n // BUCKET_ROWS, MOST_BUCKETS))
     targets = cut(source_targets(sizes), "targets")
     passes = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("long")
     goals = targets.withColumn("passes", passes).select(
