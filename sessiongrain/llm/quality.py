@@ -23,6 +23,8 @@ FLOOR = (4e-3, 4e-3, 2e-2, 2e-2)
 LEAST_ROWS = 50
 #: Squared distance beyond which a row is rejected.
 CUTOFF = 60.0
+#: Parts into which the rows of a group are dealt where they meet their group's parameters.
+SALTS = 64
 STATS = ("v0", "v1", "v2", "v3")
 _N = len(STATS)
 
@@ -92,29 +94,39 @@ def _moments() -> list[Column]:
     return out
 
 
-def _distance(rows: DataFrame) -> DataFrame:
-    """rows with the squared Mahalanobis distance d2: Cholesky factor and forward substitution, written as columns."""
-    z: list[Column] = []
+def _factor(groups: DataFrame) -> DataFrame:
+    """Groups with the Cholesky factor l* of their scatter, written as columns: one small row a group."""
     for i in range(_N):
         for j in range(i + 1):
             rest = F.col(f"s{i}{j}")
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            rows = rows.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}"))
+            groups = groups.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}"))
+    return groups
+
+
+def _distance(rows: DataFrame) -> DataFrame:
+    """rows with the squared Mahalanobis distance d2, by forward substitution."""
+    total: Column | None = None
     for i in range(_N):
         value = F.col(STATS[i]) - F.col(f"m{i}")
         for k in range(i):
             value = value - F.col(f"l{i}{k}") * F.col(f"z{k}")
         rows = rows.withColumn(f"z{i}", value / F.col(f"l{i}{i}"))
-        z.append(F.col(f"z{i}") * F.col(f"z{i}"))
-    return rows.withColumn("d2", sum(z[1:], z[0]))
+        square = F.col(f"z{i}") * F.col(f"z{i}")
+        total = square if total is None else total + square
+    return rows.withColumn("d2", total)
 
 
-_PARAMETERS = [f"m{i}" for i in range(_N)] + [f"s{i}{j}" for i in range(_N) for j in range(i + 1)]
+def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """rows with the columns of their group: each group's row is repeated for every salt, so one group's rows spread over tasks."""
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, ["grp", "salt"]).drop("salt")
 
 
 def _with_estimate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    return _distance(rows.join(estimate, "grp")).select(*rows.columns, "d2")
+    return _distance(_with_group(rows, estimate)).select(*rows.columns, "d2")
 
 
 def mcd_estimates(rows: DataFrame) -> DataFrame:
@@ -126,20 +138,21 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
     group of any size is spread over tasks, and no matrix leaves the cluster.
     """
     middle = rows.groupBy("grp").agg(*[F.percentile_approx(v, 0.5, F.lit(2000)).alias(f"c{i}") for i, v in enumerate(STATS)])
-    centred = rows.join(middle, "grp")
+    centred = _with_group(rows, middle)
     spread = centred.groupBy("grp").agg(*[F.percentile_approx(F.abs(F.col(v) - F.col(f"c{i}")), 0.5, F.lit(2000)).alias(f"w{i}") for i, v in enumerate(STATS)])
     start = None
     for i, v in enumerate(STATS):
         scale = F.greatest(F.col(f"w{i}") * F.col(f"w{i}") * 2.198, F.lit(FLOOR[i]))
         part = (F.col(v) - F.col(f"c{i}")) * (F.col(v) - F.col(f"c{i}")) / scale
         start = part if start is None else start + part
-    ranked = centred.join(spread, "grp").select(*rows.columns, start.alias("d2"))
+    ranked = _with_group(centred, spread).select(*rows.columns, start.alias("d2"))
     estimate = None
     for step in range(STEPS):
         if step:
             ranked = _with_estimate(rows, estimate)
         limit = ranked.groupBy("grp").agg(F.percentile_approx("d2", SUBSET, F.lit(5000)).alias("h"))
-        following = cut(ranked.join(limit, "grp").where(F.col("d2") <= F.col("h")).groupBy("grp").agg(*_moments()), "mcd")
+        following = cut(_with_group(ranked, limit).where(F.col("d2") <= F.col("h")).groupBy("grp").agg(*_moments()), "moments")
+        following = cut(_factor(following), "mcd")
         discard(estimate)
         estimate = following
     return estimate

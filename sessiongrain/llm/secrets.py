@@ -75,6 +75,7 @@ def trigram_query(pattern: str) -> Query:
 
         for op, arg in items:
             options: set[str] | None = None
+            goes_on = False  # the match may repeat here, so the run ends behind the copies that it must have
             if op is sre.LITERAL:
                 options = {chr(arg).lower()}
             elif op is sre.IN and all(k is sre.LITERAL for k, _ in arg):
@@ -87,9 +88,9 @@ def trigram_query(pattern: str) -> Query:
                         options = {"", *some}
                 elif low >= 1:
                     some, all_, more = walk(inner)
+                    if all_ and not more:
+                        options, goes_on = {s * min(low, 4) for s in some}, True
                     needs += more
-                    if all_:
-                        needs.append(_strings({s * min(low, 4) for s in some}))
             elif op is sre.SUBPATTERN:
                 some, all_, more = walk(arg[3])
                 needs += more
@@ -108,6 +109,8 @@ def trigram_query(pattern: str) -> Query:
                     run = set(options)
             else:
                 run = {a + b for a in run for b in options}
+            if goes_on:
+                close()
         if not whole:
             needs.append(_strings(run))
             run = {""}
