@@ -15,8 +15,10 @@ from sessiongrain.llm.near_duplicates import text_buffers
 from sessiongrain.llm.phrases import GRAM, SPAN, digests, phrases
 
 LENGTH = 400
-#: Cores that more dictionary phrases share than this are resolved by a shuffle of single windows.
+#: Cores that more dictionary phrases share than this are resolved by shuffles of blocks and single windows.
 LOCAL_PHRASES = 512
+#: Window places of one block where a crowded core is resolved.
+BLOCK = 16
 _CHUNK_BYTES = 1 << 20
 
 _TABLE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -142,8 +144,43 @@ def _local(length: int):
     return run
 
 
+def _blocks(length: int):
+    """Phrases cut into blocks of BLOCK window places, counted from the trigger: ROW columns, a, from, to, core, block, inner, outer.
+
+    inner hashes the bytes that every window of the whole block holds, outer those of the windows that the
+    phrase has there, with their places: windows of one block can be equal only where inner is, and all are
+    where outer is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 2048):
+                batch = whole.slice(k, 2048)
+                data, offsets = text_buffers(batch.column(5).cast(pa.large_binary()))
+                a = batch.column(2).to_numpy().astype(np.int64)
+                high = batch.column(3).to_numpy() - a  # the place of the first window
+                low = high - (np.diff(offsets) - length)  # and of the last one
+                count = high // BLOCK - low // BLOCK + 1
+                owner = np.repeat(np.arange(len(a)), count)
+                block = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + (low // BLOCK)[owner]
+                first, last = np.minimum(high[owner], block * BLOCK + BLOCK - 1), np.maximum(low[owner], block * BLOCK)
+                trigger = offsets[:-1][owner] + high[owner]
+                inner = digests(data, trigger - block * BLOCK, trigger - block * BLOCK + length - BLOCK + 1, 3)
+                outer = digests(data, trigger - first, trigger - last + length, 4)
+                with np.errstate(over="ignore"):
+                    outer ^= (first * BLOCK + last % BLOCK).astype(np.uint64) * np.uint64(_BASE)
+                at = a[owner] + high[owner]
+                keys = [batch.column(i).take(pa.array(owner)) for i in (0, 1, 2, 4)]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys[:3], pa.array((at - first).astype(np.int32)), pa.array((at - last + length).astype(np.int32)), keys[3], pa.array(block.astype(np.int32)), pa.array(inner.view(np.int64)), pa.array(outer.view(np.int64))],
+                    [*ROW, "a", "from", "to", "core", "block", "inner", "outer"],
+                )
+
+    return run
+
+
 def _single(length: int):
-    """The windows of phrases as rows: ROW columns, start, core, place, digest."""
+    """The windows of parts of phrases as rows: ROW columns, start, core, place, digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -160,6 +197,30 @@ def _single(length: int):
     return run
 
 
+def _crowded(phrases_: DataFrame, length: int) -> DataFrame:
+    """Repeated windows of phrases (ROW columns, a, t, core, bytes) whose cores have too many for one task: (ROW columns, from, to).
+
+    First by blocks of places: rows that share inner and outer are settled as a whole, those whose inner occurs
+    once hold no repeat. Only blocks that share inner and differ in outer, one copy of each, go on as single
+    windows. Groups are counts and minima, so a core of any size is spread over tasks.
+    """
+    dealt = phrases_.repartition(*ROW, "a")
+    blocks = cut(dealt.mapInArrow(_blocks(length), f"{ROW[0]} long, {ROW[1]} long, a int, from int, to int, core long, block int, inner long, outer long"), "blocks")
+    group = ["core", "block", "inner"]
+    classes = cut(blocks.groupBy(*group, "outer").agg(F.count("*").alias("copies"), F.min(F.struct(*ROW, "a", "from", "to")).alias("one")), "classes")
+    settled = blocks.join(classes.where("copies > 1").select(*group, "outer"), [*group, "outer"]).select(*ROW, "from", "to")
+    several = classes.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1").select(*group)
+    open_ = classes.join(several, group).select("one.*")
+    asked = open_.groupBy(*ROW, "a").agg(F.collect_list(F.struct("from", "to")).alias("parts"))  # one phrase's blocks
+    parts = phrases_.join(asked, [*ROW, "a"]).select("*", F.explode("parts").alias("p"))
+    parts = parts.select(*ROW, F.col("p.from").alias("a"), "t", "core", F.substring(F.col("bytes"), F.col("p.from") - F.col("a") + 1, F.col("p.to") - F.col("p.from")).alias("bytes"))
+    single = parts.mapInArrow(_single(length), f"{ROW[0]} long, {ROW[1]} long, start int, core long, place int, digest long")
+    single = cut(single, "windows")
+    twice = single.groupBy("core", "place", "digest").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    far = single.join(twice, ["core", "place", "digest"]).select(*ROW, F.col("start").alias("from"), (F.col("start") + length).alias("to"))
+    return settled.unionByName(far)
+
+
 def repeated_spans(rows: DataFrame, length: int = LENGTH, local: int = LOCAL_PHRASES, span: int | None = None) -> DataFrame:
     """(ROW columns, text) -> (ROW columns, from, to): byte ranges whose windows of `length` bytes all occur elsewhere too.
 
@@ -169,10 +230,12 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, local: int = LOCAL_PHR
        occurs twice are repeated (the parse alone decides them).
     3. Suffixes: where a core has several phrases, one copy of each is fetched, and the suffixes that start
        in them are ordered by core, place and first `length` bytes; equal neighbours are repeated. Small cores
-       are sorted in one task with many others; cores with more than `local` phrases, of any size, go through a
-       shuffle of single windows with partial counts.
+       are sorted in one task with many others; cores with more than `local` phrases, of any size, go through
+       shuffles of blocks of windows, and of single windows where blocks leave it open, with partial counts.
     """
-    span = span or max(1, min(SPAN, length * 3 // 5))
+    if length < 2 * BLOCK:
+        raise ValueError(f"strings of at least {2 * BLOCK} bytes")
+    span = span or min(SPAN, length * 3 // 5)
     core = length - span
     parsed = cut(parse(rows, length, span, core), "parse")
     counts = parsed.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
@@ -207,9 +270,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, local: int = LOCAL_PHR
     fetched = cut(fetched, "phrases")
     release(rows.sparkSession)
     near = fetched.where("few").drop("few").repartition("core").sortWithinPartitions("core").mapInArrow(_local(length), _SPAN_SCHEMA)
-    single = fetched.where("not few").drop("few").mapInArrow(_single(length), f"{ROW[0]} long, {ROW[1]} long, start int, core long, place int, digest long")
-    twice = single.groupBy("core", "place", "digest").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    far = single.join(twice, ["core", "place", "digest"]).select(*ROW, F.col("start").alias("from"), (F.col("start") + length).alias("to"))
+    far = _crowded(fetched.where("not few").drop("few"), length)
     return spans.unionByName(near).unionByName(far)
 
 
