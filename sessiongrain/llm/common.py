@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,6 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
         os.makedirs("/tmp/checkpoints", exist_ok=True)
         path = "file://" + tempfile.mkdtemp(prefix="sessiongrain-", dir="/tmp/checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
+        atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
     return path.rstrip("/")
 
 
