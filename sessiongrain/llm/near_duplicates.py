@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessiongrain.llm.common import bounded_batches, cut, read_table
+from sessiongrain.llm.common import ROW, bounded_batches, cut, discard, read_table, with_row_id
 from sessiongrain.llm.components import connected_components
 
 # XXH64's constants (fixed values of the public algorithm).
@@ -22,6 +22,15 @@ MAX_BITS = 2
 PAIR_CELL = 24
 N_REFERENCES = 12
 
+#: The pipeline's stage: words of a shingle, least Jaccard similarity of a link, and bits beyond which no pair is verified
+#: (at the least similarity fingerprints differ in about 10 bits, with a deviation of 3).
+SHINGLE = 5
+SIMILARITY = 0.8
+RADIUS = 24
+#: Bands of minhashes: at the least similarity 1 - (1 - 0.8**5)**20 = 0.9996 of pairs share one.
+BANDS = 20
+BAND_ROWS = 5
+
 
 def _rotl(x: np.ndarray, r: int) -> np.ndarray:
     return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
@@ -84,12 +93,11 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER[_SPACE] = 32
 
 
-def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int = 3, seed: int = 42, chunk: int = 1 << 18) -> np.ndarray:
-    """Fingerprints of the texts data[offsets[i]:offsets[i + 1]] (UTF-8), whole, as unsigned 64-bit integers."""
+def _shingles(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """(bytes, begins and ends in them of all shingles, shingles of each text); None where no text has a word."""
     n = len(offsets) - 1
-    out = np.zeros(n, np.uint64)
     if n == 0 or len(data) == 0:
-        return out
+        return None
     space = _SPACE[data]
     first = np.zeros(len(data) + 1, bool)  # where a text begins
     first[offsets] = True
@@ -98,7 +106,7 @@ def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int = 3, seed: int =
     before |= first[:-1]
     starts = np.flatnonzero(~space & before)
     if not len(starts):
-        return out
+        return None
     after = np.ones(len(data), bool)
     after[:-1] = space[1:]
     after |= first[1:]
@@ -110,23 +118,65 @@ def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int = 3, seed: int =
     doc_first = np.concatenate([np.zeros(1, np.int64), np.cumsum(~space & before)])[offsets]  # each text's first word
     words = np.diff(doc_first)
     count = np.where(words == 0, 0, np.maximum(words - shingle + 1, 1))
-    base = np.concatenate([np.zeros(1, np.int64), np.cumsum(count)])
-    full = np.flatnonzero(count)
     doc_of = np.repeat(np.arange(n), count)
-    begin = np.arange(base[-1]) - base[doc_of] + doc_first[doc_of]
+    begin = np.arange(len(doc_of)) - (np.cumsum(count) - count)[doc_of] + doc_first[doc_of]
     end = begin + np.minimum(words[doc_of], shingle) - 1
-    ones = np.zeros((n, 64), np.int64)
-    for a in range(0, int(base[-1]), chunk):
-        b = min(a + chunk, int(base[-1]))
-        lo, hi = int(starts[begin[a]]), int(ends[end[b - 1]])
-        h = xxh64(flat[lo:hi], starts[begin[a:b]] - lo, ends[end[a:b]] - lo, seed)
-        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return flat, starts[begin], ends[end], count
+
+
+def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int = 3, seed: int = 42, chunk: int = 1 << 18) -> np.ndarray:
+    """Fingerprints of the texts data[offsets[i]:offsets[i + 1]] (UTF-8), whole, as unsigned 64-bit integers."""
+    return _simhash(*_hashes(data, offsets, shingle, seed, chunk), chunk)
+
+
+def _hashes(data: np.ndarray, offsets: np.ndarray, shingle: int, seed: int = 42, chunk: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the shingles of all texts, text after text; shingles of each text)."""
+    found = _shingles(data, offsets, shingle)
+    if found is None:
+        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+    flat, begin, end, count = found
+    out = np.empty(len(begin), np.uint64)
+    for a in range(0, len(begin), chunk):
+        b = min(a + chunk, len(begin))
+        lo, hi = int(begin[a]), int(end[b - 1])
+        out[a:b] = xxh64(flat[lo:hi], begin[a:b] - lo, end[a:b] - lo, seed)
+    return out, count
+
+
+def _simhash(hashes: np.ndarray, count: np.ndarray, chunk: int = 1 << 18) -> np.ndarray:
+    full = np.flatnonzero(count)
+    base = np.concatenate([np.zeros(1, np.int64), np.cumsum(count)])
+    ones = np.zeros((len(count), 64), np.int64)
+    for a in range(0, len(hashes), chunk):
+        b = min(a + chunk, len(hashes))
+        bits = np.unpackbits(hashes[a:b].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         here = full[np.searchsorted(base[full], a, "right") - 1 : np.searchsorted(base[full], b, "left")]
         ones[here] += np.add.reduceat(bits, np.maximum(base[here] - a, 0), axis=0, dtype=np.int32)
     over = 2 * ones > count[:, None]
     return np.packbits(over, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
+def _mix64(state: int) -> int:
+    """SplitMix64's output for a state."""
+    full = (1 << 64) - 1
+    z = ((state ^ (state >> 30)) * 0xBF58476D1CE4E5B9) & full
+    z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & full
+    return z ^ (z >> 31)
+
+
+def minhashes(hashes: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+    """(texts, n) least values of the shingles under n hash functions, 32 bits each; texts without words have zeros."""
+    out = np.zeros((len(count), n), np.uint32)
+    full = np.flatnonzero(count)
+    if len(full):
+        at = (np.cumsum(count) - count)[full]
+        for k in range(n):
+            x, a = np.uint64(_mix64(2 * k + 1)), np.uint64(_mix64(2 * k + 2) | 1)
+            values = ((hashes ^ x) * a) >> np.uint64(32)
+            out[full, k] = np.minimum.reduceat(values.astype(np.uint32), at)
+    return out
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes and the offsets of a string column; nulls are empty."""
     binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
@@ -160,9 +210,7 @@ def references(n: int = N_REFERENCES) -> list[int]:
     out, state, full = [], 1, (1 << 64) - 1
     for _ in range(n):
         state = (state + 0x9E3779B97F4A7C15) & full
-        z = ((state ^ (state >> 30)) * 0xBF58476D1CE4E5B9) & full
-        z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & full
-        out.append(z ^ (z >> 31))
+        out.append(_mix64(state))
     return out
 
 
@@ -191,10 +239,10 @@ def cell_key(fp: Column, block: tuple[int, int]) -> Column:
     return key
 
 
-def _within(a: Column, b: Column) -> Column:
+def _within(a: Column, b: Column, bits: int = MAX_BITS) -> Column:
     """Survives the pivot filter (largest coordinate difference), and then the check of the bits themselves."""
     most = F.greatest(*[F.abs(x - y) for x, y in zip(pivot_distances(a), pivot_distances(b), strict=True)])
-    return (most <= MAX_BITS) & (F.bit_count(a.bitwiseXOR(b)) <= MAX_BITS)
+    return (most <= bits) & (F.bit_count(a.bitwiseXOR(b)) <= bits)
 
 
 def linked(distinct: DataFrame) -> DataFrame:
@@ -238,14 +286,99 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(classes, "fp").select("doc_id", "fp", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each class: the one with the least id (of equal rows one stays). Columns unchanged."""
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__sg_id"), F.col("root").alias("__sg_root")).dropDuplicates(["__sg_root"])
-    key = F.struct(F.coalesce(F.col(id_col), F.lit(-1)), F.col(id_col).isNull())
-    held = kept.select(F.struct(F.coalesce(F.col("__sg_id"), F.lit(-1)), F.col("__sg_id").isNull()).alias("__sg_key")).distinct()
-    out = docs.withColumn("__sg_key", key).join(held, "__sg_key", "left_semi")
-    return out.dropDuplicates(["__sg_key"]).select(*docs.columns)
+def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(ROW columns, doc_id, node, n, fp, mins) for every row of a table with ROW columns.
+
+    node: digest of the set of shingles, zero for null and blank texts; n: its size; mins: BANDS * BAND_ROWS minhashes.
+    """
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, count = _hashes(*text_buffers(batch.column(3)), shingle)
+            fp, mins = _simhash(hashes, count), minhashes(hashes, count, BANDS * BAND_ROWS)
+            sets = [np.unique(h) for h in np.split(hashes, np.cumsum(count)[:-1])]
+            flat = np.frombuffer(b"".join(x.astype("<u8").tobytes() for x in sets), np.uint8)
+            ends = np.cumsum([8 * len(x) for x in sets])
+            n = np.array([len(x) for x in sets], np.int64)
+            node = np.where(n == 0, np.uint64(0), xxh64(flat, ends - 8 * n, ends))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * mins.shape[1]), pa.array(mins.view(np.int32).reshape(-1)))
+            columns = [*batch.columns[:3], pa.array(node.view(np.int64)), pa.array(n), pa.array(fp.view(np.int64)), lists]
+            yield pa.RecordBatch.from_arrays(columns, [*ROW, "doc_id", "node", "n", "fp", "mins"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"{ROW[0]} long, {ROW[1]} long, doc_id {kind}, node long, n long, fp long, mins array<int>"
+    return docs.select(*ROW, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def _shingle_sets(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
+    """(node, shingles) of a table with node and texts: the sets of shingle hashes."""
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, count = _hashes(*text_buffers(batch.column(1)), shingle)
+            sets = [np.unique(h) for h in np.split(hashes.view(np.int64), np.cumsum(count)[:-1])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return docs.select("node", F.col(text_col).alias("text")).mapInArrow(run, "node long, shingles array<long>")
+
+
+def similar_links(numbered: DataFrame, nodes: DataFrame, shingle: int, similarity: float, bits: int, text_col: str = "text") -> DataFrame:
+    """Edges (a, b) between nodes whose sets of shingles have a Jaccard similarity of `similarity` or more.
+
+    numbered: the texts with ROW columns; nodes: (node, n, fp, mins, and ROW columns of a row with the text). Candidates
+    share a cell: equal minhashes in one of BANDS bands. Cells up to PAIR_CELL are compared pair by pair, larger ones with
+    their least node by hash; what does not link to it goes on to a smaller cell (one more minhash equal) until none
+    are left. Candidates must have sizes that allow the similarity, pass the pivot filter at `bits` bits, and are then verified on the whole sets.
+    """
+    band = [F.xxhash64(F.lit(k), *[F.get("mins", k * BAND_ROWS + j) for j in range(BAND_ROWS)]) for k in range(BANDS)]
+    rows = nodes.where("n > 0").select("node", "n", "fp", F.posexplode(F.array(*band)).alias("band", "cell"))
+    links, done = None, 0
+    while True:
+        sizes = rows.groupBy("cell").agg(F.count("*").alias("size"), F.min_by(F.struct("node", "n", "fp"), F.xxhash64("node")).alias("hub")).where("size > 1")
+        cells = cut(rows.join(sizes, "cell"), "bands")
+        left = cells.where(F.col("size") <= PAIR_CELL).select("cell", F.struct("node", "n", "fp").alias("x"))
+        pairs = left.join(left.withColumnRenamed("x", "y"), "cell").where("x.node < y.node").select("x", "y")
+        stars = cells.where(F.col("size") > PAIR_CELL).select(F.col("hub").alias("x"), F.struct("node", "n", "fp").alias("y"))
+        stars = stars.where("x.node <> y.node").select(F.when(F.expr("x.node < y.node"), F.col("x")).otherwise(F.col("y")).alias("x"), F.when(F.expr("x.node < y.node"), F.col("y")).otherwise(F.col("x")).alias("y"))
+        both = pairs.unionByName(stars).where(F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")).where(_within(F.col("x.fp"), F.col("y.fp"), bits))
+        found = cut(both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "candidates")
+        needed = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
+        texts = numbered.join(nodes.join(needed, "node", "left_semi").select(*ROW, "node"), ROW)
+        sets = cut(_shingle_sets(texts, shingle, text_col), "shingles")
+        met = found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
+        shared = F.size(F.array_intersect("s", "t"))
+        here = cut(met.where(shared / (F.size("s") + F.size("t") - shared) >= similarity).select("a", "b"), "links")
+        discard(sets, found)
+        links = here if links is None else links.unionByName(here)
+        hub = F.col("hub.node")
+        large = cells.where((F.col("size") > PAIR_CELL) & (F.col("node") != hub)).withColumn("a", F.least("node", hub)).withColumn("b", F.greatest("node", hub))
+        rest = large.join(here, ["a", "b"], "left_anti").select("node", "n", "fp", "band", "cell")
+        # Band k goes on with the minhashes that follow its own, so every cell shrinks until its sets agree in all of them.
+        following = F.get("mins", F.pmod((F.col("band") + 1) * BAND_ROWS + done, F.lit(BANDS * BAND_ROWS)))
+        rows = cut(rest.join(nodes.select("node", "mins"), "node").select("node", "n", "fp", "band", F.xxhash64("cell", following).alias("cell")), "rest")
+        discard(cells)
+        done += 1
+        if rows.isEmpty():
+            return links
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, bits: int = RADIUS) -> DataFrame:
+    """docs with one row of each class: the one with the least id, nulls last, and then the first in (file, row). Columns unchanged.
+
+    Classes are those of links between texts whose sets of `shingle`-word shingles have a Jaccard similarity of `similarity` or
+    more (see similar_links). Null, empty and blank texts are one class; texts shorter than a shingle are one shingle.
+    Rows are told apart by their place, so null and repeated ids are only an order. Empty in, empty out.
+    """
+    numbered = with_row_id(docs)
+    rows = cut(sketches(numbered, shingle, id_col, text_col), "sketches")
+    nodes = cut(rows.groupBy("node").agg(F.min_by(F.struct("n", "fp", "mins", *ROW), F.struct(*ROW)).alias("x")).select("node", "x.*"), "nodes")
+    roots = connected_components(similar_links(numbered, nodes, shingle, similarity, bits, text_col))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)
+    classes = rows.select("node", place.alias("place")).join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("place").alias("place"))
+    kept = cut(classes.select(*[F.col(f"place.{c}").alias(c) for c in ROW]), "kept")
+    return numbered.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

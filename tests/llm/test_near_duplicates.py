@@ -99,3 +99,55 @@ def test_components_of_paths_and_rings(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert len({got[i] for i in range(61)}) == 1 and len({got[100 + i] for i in range(17)}) == 1 and got[300] == got[301] and 200 not in got
     assert len({got[0], got[100], got[300]}) == 3
+
+
+def shingle_set(text, n=5):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + n]) for i in range(max(len(words) - n + 1, 1))} if words else set()
+
+
+def survivors(rows):
+    """Indexes of rows left: (doc_id, nulls last; row) of each class of Jaccard 0.8 or more, by comparing all pairs."""
+    sets, root = [shingle_set(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and sets[i] | sets[j] or sets[i] == sets[j]:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    best = {}
+    for i, (d, _) in enumerate(rows):
+        key = (d is None, d or 0, i)
+        best[find(i)] = min(best.get(find(i), key), key)
+    return sorted(k[2] for k in best.values())
+
+
+@pytest.mark.parametrize("cell", [nd.PAIR_CELL, 2])
+def test_near_copies_with_edits_go(spark, monkeypatch, cell):
+    """Copies with a few edits differ in far more than two bits; both ways through a cell find them."""
+    monkeypatch.setattr(nd, "PAIR_CELL", cell)
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    base = [[word() for _ in range(150)] for _ in range(6)]
+    rows = []
+    for i in range(60):
+        words = list(base[i % 6])
+        for _ in range(rnd.randint(0, 2)):
+            words[rnd.randrange(150)] = word()
+        rows.append((i, " ".join(words)))
+    kept = nd.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    got = sorted(r["doc_id"] for r in kept.collect())
+    assert got == sorted(rows[k][0] for k in survivors(rows)) and len(got) < 20
+
+
+def test_rows_not_ids_are_dropped(spark):
+    """Several null ids and one id with two different texts: each different text keeps a row."""
+    texts = ["alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red green blue cyan pink grey", "north south east west up down left"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (9, texts[3]), (2, texts[1])]
+    kept = nd.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, texts[0]), (2, texts[1]), (4, texts[2]), (4, texts[3])], key=repr)
