@@ -141,6 +141,20 @@ def test_concentration_finds_the_bulk(spark):
     assert sum(r["d2"] > quality.CUTOFF for r in scored) == 90
 
 
+def test_each_statistic_alone_rejects(spark):
+    """Long words, symbols, duplicate lines and repeated words each go beyond the cutoff alone, after the base rules; clean rows stay."""
+    rnd = random.Random(15)
+    word = lambda n=0: "".join(rnd.choice("abcdefgh") for _ in range(n or rnd.randint(3, 8)))
+    line = lambda n, k=0: " ".join(word(k) for _ in range(n))
+    again = line(19)
+    hard = [line(80, 14), " ".join(word(5) + "%" for _ in range(80)), "\n".join([line(100), *["one two three"] * 4]), f"{again} {line(162)} {again}"]
+    docs = [(i, line(rnd.randint(60, 300))) for i in range(200)] + [(1000 + i, t) for i, t in enumerate(hard)]
+    df = spark.createDataFrame([(d, t, "en", "s") for d, t in docs], "doc_id long, text string, lang string, source string")
+    out = {r["doc_id"]: r for r in quality.judged(df).collect()}
+    assert all(out[i]["kept"] for i in range(200))
+    assert not any(out[1000 + i]["base_failed"] or out[1000 + i]["kept"] for i in range(4))
+
+
 def test_edit_distance_and_pieces():
     rnd = random.Random(7)
     for _ in range(150):
