@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
-import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -22,11 +22,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of this process where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of this process under a
+    local master; on a cluster, where executors would not see such a folder, an error."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        os.makedirs("/tmp/checkpoints", exist_ok=True)
-        path = "file://" + tempfile.mkdtemp(prefix="sessiongrain-", dir="/tmp/checkpoints")
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        path = "file://" + tempfile.mkdtemp(prefix="sessiongrain-")
         spark.conf.set("spark.checkpoint.dir", path)
         atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
     return path.rstrip("/")
@@ -73,22 +75,18 @@ def word_count(text: Column) -> Column:
     return words.cast("long")
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """Equal for rows that agree in id and text, never null; such rows get the same result anyway."""
-    return F.struct(F.coalesce(doc_id, F.lit(-1)).alias("a"), doc_id.isNull().alias("b"), F.xxhash64(text).alias("c"), F.coalesce(F.length(text), F.lit(-1)).alias("d"))
-
-
 ROW = ["__sg_file", "__sg_row"]
 
 
 def with_row_id(docs: DataFrame) -> DataFrame:
     """docs with two columns that identify a row, the same at every evaluation.
 
-    Parquet and other file tables name their rows themselves (file and index in it). Any other input is
-    numbered and written to the shared folder once.
+    Parquet tables name their rows themselves (file and index in it). Any other input, file tables of formats
+    without an index among them, is numbered and written to the shared folder once.
     """
     hidden = docs._jdf.queryExecution().analyzed().metadataOutput()
-    if [hidden.apply(i).name() for i in range(hidden.size())] == ["_metadata"]:
+    fields = [f for i in range(hidden.size()) if hidden.apply(i).name() == "_metadata" for f in hidden.apply(i).dataType().fieldNames()]
+    if "row_index" in fields:
         return docs.select("*", F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1]))
     return cut(docs.select("*", F.lit(0).cast("long").alias(ROW[0]), F.monotonically_increasing_id().alias(ROW[1])), "numbered")
 

@@ -6,12 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessiongrain.llm.common import ROW, bounded_batches, cut, discard, read_table, with_row_id
 from sessiongrain.llm.components import connected_components
 
+#: Strings of more bytes are hashed one by one by the xxhash library: in step with others, one long word would hold up all.
+LONE_BYTES = 2048
 # XXH64's constants (fixed values of the public algorithm).
 P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
@@ -30,6 +33,8 @@ RADIUS = 24
 #: Bands of minhashes: at the least similarity 1 - (1 - 0.8**5)**20 = 0.9996 of pairs share one.
 BANDS = 20
 BAND_ROWS = 5
+#: Nodes of a large cell that its strays are compared with in every round but the first, which takes one.
+HUBS = 8
 
 
 def _rotl(x: np.ndarray, r: int) -> np.ndarray:
@@ -48,6 +53,9 @@ def xxh64(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42)
     words = np.ascontiguousarray(np.ndarray((len(buf) + 1,), "<u8", padded, 0, (1,)))  # the 8 bytes from each offset on
     length = (ends - starts).astype(np.int64)
     pos = starts.astype(np.int64).copy()
+    lone = np.flatnonzero(length > LONE_BYTES)
+    alone = [xxhash.xxh64_intdigest(buf[a:b].tobytes(), seed) for a, b in zip(pos[lone], pos[lone] + length[lone], strict=True)]
+    length[lone] = 0
     with np.errstate(over="ignore"):
         s = np.uint64(seed)
         h = np.full(len(starts), s + P5, np.uint64)
@@ -83,6 +91,7 @@ def xxh64(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42)
         h ^= h >> np.uint64(29)
         h *= P3
         h ^= h >> np.uint64(32)
+    h[lone] = np.array(alone, np.uint64)
     return h
 
 
@@ -239,10 +248,15 @@ def cell_key(fp: Column, block: tuple[int, int]) -> Column:
     return key
 
 
-def _within(a: Column, b: Column, bits: int = MAX_BITS) -> Column:
-    """Survives the pivot filter (largest coordinate difference), and then the check of the bits themselves."""
-    most = F.greatest(*[F.abs(x - y) for x, y in zip(pivot_distances(a), pivot_distances(b), strict=True)])
-    return (most <= bits) & (F.bit_count(a.bitwiseXOR(b)) <= bits)
+def pivot_table(distinct: DataFrame) -> DataFrame:
+    """distinct (with fp) and `pivots`: the distances of each fingerprint to every pivot, computed once."""
+    return distinct.withColumn("pivots", F.array(*pivot_distances(F.col("fp"))).cast("array<tinyint>"))
+
+
+def _within(a: str, b: str, bits: int = MAX_BITS) -> Column:
+    """Structs a and b (fp, pivots): discarded by the largest difference of a coordinate of the table, else by the bits themselves."""
+    most = F.array_max(F.zip_with(f"{a}.pivots", f"{b}.pivots", lambda x, y: F.abs(x - y)))
+    return (most <= bits) & (F.bit_count(F.col(f"{a}.fp").bitwiseXOR(F.col(f"{b}.fp"))) <= bits)
 
 
 def linked(distinct: DataFrame) -> DataFrame:
@@ -255,18 +269,21 @@ def linked(distinct: DataFrame) -> DataFrame:
     such a value, so a value's least fingerprint is joined to the others that name it (44 at most).
     """
     fp = F.col("fp")
-    cells = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("block"), cell_key(fp, b).alias("cell")) for i, b in enumerate(BLOCKS)])).alias("c")).select("fp", "c.block", "c.cell")
+    blocks = [F.struct(F.lit(i).alias("block"), cell_key(fp, b).alias("cell")) for i, b in enumerate(BLOCKS)]
+    cells = pivot_table(distinct.select("fp")).select(F.struct("fp", "pivots").alias("x"), F.explode(F.array(*blocks)).alias("c")).select("x", "c.block", "c.cell")
     sizes = cells.groupBy("block", "cell").agg(F.count("*").alias("n")).where("n > 1")
     shared = cut(cells.join(sizes, ["block", "cell"]), "cells")
     small = shared.where(F.col("n") <= PAIR_CELL).drop("n")
-    pairs = small.withColumnRenamed("fp", "a").join(small.withColumnRenamed("fp", "b"), ["block", "cell"]).where("a < b").where(_within(F.col("a"), F.col("b"))).select("a", "b")
+    pairs = small.join(small.withColumnRenamed("x", "y"), ["block", "cell"]).where("x.fp < y.fp").where(_within("x", "y")).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     flips = F.lit(None)
     for i, b in enumerate(BLOCKS):
         outside = [F.lit(0).cast("long"), *[F.lit(_signed(1 << k)) for k in range(64) if not _mask(b) >> k & 1]]
         flips = F.when(F.col("block") == i, F.array(*outside)).otherwise(flips)
-    near = shared.where(F.col("n") > PAIR_CELL).select("fp", "block", F.explode(flips).alias("flip")).select("block", fp.bitwiseXOR(F.col("flip")).alias("value"), "fp")
-    stars = near.groupBy("block", "value").agg(F.collect_list("fp").alias("all")).where(F.size("all") > 1).select(F.array_min("all").alias("a"), F.explode("all").alias("b")).where("a < b").where(_within(F.col("a"), F.col("b")))
-    return pairs.unionByName(stars).distinct()
+    near = shared.where(F.col("n") > PAIR_CELL).select("x.fp", "block", F.explode(flips).alias("flip")).select("block", fp.bitwiseXOR(F.col("flip")).alias("value"), "fp")
+    stars = near.groupBy("block", "value").agg(F.collect_list("fp").alias("all")).where(F.size("all") > 1).select(F.array_min("all").alias("a"), F.explode("all").alias("b")).where("a < b").distinct()
+    pivots = shared.where(F.col("n") > PAIR_CELL).select("x").distinct()
+    met = stars.join(pivots.select(F.col("x.fp").alias("a"), "x"), "a").join(pivots.select(F.col("x.fp").alias("b"), F.col("x").alias("y")), "b")
+    return pairs.unionByName(met.where(_within("x", "y")).select("a", "b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,15 +304,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(ROW columns, doc_id, node, n, fp, mins) for every row of a table with ROW columns.
+    """(ROW columns, doc_id, digest, node, n, fp, mins) for every row of a table with ROW columns.
 
-    node: digest of the set of shingles, zero for null and blank texts; n: its size; mins: BANDS * BAND_ROWS minhashes.
+    digest: hash of the text; node: digest of the set of shingles, zero for null and blank texts; n: its size; mins: BANDS * BAND_ROWS minhashes.
     """
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, count = _hashes(*text_buffers(batch.column(3)), shingle)
+            hashes, count = _hashes(*text_buffers(batch.column(4)), shingle)
             fp, mins = _simhash(hashes, count), minhashes(hashes, count, BANDS * BAND_ROWS)
             sets = [np.unique(h) for h in np.split(hashes, np.cumsum(count)[:-1])]
             flat = np.frombuffer(b"".join(x.astype("<u8").tobytes() for x in sets), np.uint8)
@@ -303,12 +320,12 @@ def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
             n = np.array([len(x) for x in sets], np.int64)
             node = np.where(n == 0, np.uint64(0), xxh64(flat, ends - 8 * n, ends))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * mins.shape[1]), pa.array(mins.view(np.int32).reshape(-1)))
-            columns = [*batch.columns[:3], pa.array(node.view(np.int64)), pa.array(n), pa.array(fp.view(np.int64)), lists]
-            yield pa.RecordBatch.from_arrays(columns, [*ROW, "doc_id", "node", "n", "fp", "mins"])
+            columns = [*batch.columns[:4], pa.array(node.view(np.int64)), pa.array(n), pa.array(fp.view(np.int64)), lists]
+            yield pa.RecordBatch.from_arrays(columns, [*ROW, "doc_id", "digest", "node", "n", "fp", "mins"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{ROW[0]} long, {ROW[1]} long, doc_id {kind}, node long, n long, fp long, mins array<int>"
-    return docs.select(*ROW, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    schema = f"{ROW[0]} long, {ROW[1]} long, doc_id {kind}, digest long, node long, n long, fp long, mins array<int>"
+    return docs.select(*ROW, F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def _shingle_sets(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
@@ -324,60 +341,86 @@ def _shingle_sets(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
     return docs.select("node", F.col(text_col).alias("text")).mapInArrow(run, "node long, shingles array<long>")
 
 
-def similar_links(numbered: DataFrame, nodes: DataFrame, shingle: int, similarity: float, bits: int, text_col: str = "text") -> DataFrame:
-    """Edges (a, b) between nodes whose sets of shingles have a Jaccard similarity of `similarity` or more.
+def similar_roots(numbered: DataFrame, nodes: DataFrame, shingle: int, similarity: float, bits: int, text_col: str = "text") -> DataFrame:
+    """(node, root) of the nodes linked to others: sets of shingles with a Jaccard similarity of `similarity` or more.
 
-    numbered: the texts with ROW columns; nodes: (node, n, fp, mins, and ROW columns of a row with the text). Candidates
-    share a cell: equal minhashes in one of BANDS bands. Cells up to PAIR_CELL are compared pair by pair, larger ones with
-    their least node by hash; what does not link to it goes on to a smaller cell (one more minhash equal) until none
-    are left. Candidates must have sizes that allow the similarity, pass the pivot filter at `bits` bits, and are then verified on the whole sets.
+    numbered: the texts with ROW columns; nodes: (node, n, fp, pivots, mins, and ROW columns of a row with the text).
+    Candidates share a cell: equal minhashes in one of BANDS bands. Cells up to PAIR_CELL are compared pair by pair, larger
+    ones with some of their nodes (hubs), drawn by hash. Nodes that are in one class by then need no further comparison: a large
+    cell with several classes goes on, its rows split by more minhashes, twice as many each round, and where all are equal
+    it is compared pair by pair between classes. Candidates must have sizes that allow the similarity and
+    pass the pivot table at `bits` bits; they are then verified on the whole sets, which are built once.
     """
+    total = BANDS * BAND_ROWS
     band = [F.xxhash64(F.lit(k), *[F.get("mins", k * BAND_ROWS + j) for j in range(BAND_ROWS)]) for k in range(BANDS)]
-    rows = nodes.where("n > 0").select("node", "n", "fp", F.posexplode(F.array(*band)).alias("band", "cell"))
-    links, done = None, 0
+    facts = nodes.select("node", F.struct("node", "n", "fp", "pivots").alias("x"))
+    rows = nodes.where("n > 0").select("node", F.posexplode(F.array(*band)).alias("band", "cell"))
+    roots = sets = None
+    width, more = BAND_ROWS, 2
     while True:
-        sizes = rows.groupBy("cell").agg(F.count("*").alias("size"), F.min_by(F.struct("node", "n", "fp"), F.xxhash64("node")).alias("hub")).where("size > 1")
-        cells = cut(rows.join(sizes, "cell"), "bands")
-        left = cells.where(F.col("size") <= PAIR_CELL).select("cell", F.struct("node", "n", "fp").alias("x"))
-        pairs = left.join(left.withColumnRenamed("x", "y"), "cell").where("x.node < y.node").select("x", "y")
-        stars = cells.where(F.col("size") > PAIR_CELL).select(F.col("hub").alias("x"), F.struct("node", "n", "fp").alias("y"))
-        stars = stars.where("x.node <> y.node").select(F.when(F.expr("x.node < y.node"), F.col("x")).otherwise(F.col("y")).alias("x"), F.when(F.expr("x.node < y.node"), F.col("y")).otherwise(F.col("x")).alias("y"))
-        both = pairs.unionByName(stars).where(F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")).where(_within(F.col("x.fp"), F.col("y.fp"), bits))
-        found = cut(both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "candidates")
-        needed = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
-        texts = numbered.join(nodes.join(needed, "node", "left_semi").select(*ROW, "node"), ROW)
-        sets = cut(_shingle_sets(texts, shingle, text_col), "shingles")
+        named = rows.withColumn("root", F.col("node")) if roots is None else rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # Once classes are known only strays meet a cell's hubs, so it can have more of them.
+        hubs = [F.min_by(F.struct("node", "root"), F.xxhash64(F.lit(k), "cell", "node")) for k in range(1 if roots is None else HUBS)]
+        open_ = named.groupBy("cell").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.array(*hubs).alias("hubs"))
+        shared = cut(named.join(open_.where("lo < hi").drop("lo", "hi"), "cell"), "bands")
+        crowded = (F.col("size") > PAIR_CELL) if width < total else F.lit(False)
+        left = shared.where(~crowded).select("cell", "root", "node").join(facts, "node").drop("node")
+        pairs = left.join(left.select("cell", F.col("x").alias("y"), F.col("root").alias("other")), "cell").where("root <> other and x.node < y.node").select("x", "y")
+        stars = shared.where(crowded).select("node", "root", F.explode("hubs").alias("hub")).where(F.col("root") != F.col("hub.root"))
+        stars = stars.select("node", F.col("hub.node").alias("to")).distinct().join(facts, "node").join(facts.select(F.col("node").alias("to"), F.col("x").alias("y")), "to").select("x", "y")
+        both = pairs.unionByName(stars).where(F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")).where(_within("x", "y", bits))
+        ends = F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+        found = cut(both.select(*ends).distinct(), "candidates")
+        if sets is None:
+            wanted = found.select(F.explode(F.array("a", "b")).alias("node")).unionByName(shared.where(crowded).select("node")).distinct()
+            texts = numbered.join(nodes.join(wanted, "node", "left_semi").select(*ROW, "node"), ROW)
+            sets = cut(_shingle_sets(texts, shingle, text_col), "shingles")
         met = found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
-        shared = F.size(F.array_intersect("s", "t"))
-        here = cut(met.where(shared / (F.size("s") + F.size("t") - shared) >= similarity).select("a", "b"), "links")
-        discard(sets, found)
-        links = here if links is None else links.unionByName(here)
-        hub = F.col("hub.node")
-        large = cells.where((F.col("size") > PAIR_CELL) & (F.col("node") != hub)).withColumn("a", F.least("node", hub)).withColumn("b", F.greatest("node", hub))
-        rest = large.join(here, ["a", "b"], "left_anti").select("node", "n", "fp", "band", "cell")
-        # Band k goes on with the minhashes that follow its own, so every cell shrinks until its sets agree in all of them.
-        following = F.get("mins", F.pmod((F.col("band") + 1) * BAND_ROWS + done, F.lit(BANDS * BAND_ROWS)))
-        rows = cut(rest.join(nodes.select("node", "mins"), "node").select("node", "n", "fp", "band", F.xxhash64("cell", following).alias("cell")), "rest")
-        discard(cells)
-        done += 1
-        if rows.isEmpty():
-            return links
+        common = F.size(F.array_intersect("s", "t"))
+        here = cut(met.where(common / (F.size("s") + F.size("t") - common) >= similarity).select("a", "b"), "links")
+        discard(found)
+        roots = connected_components(here) if roots is None else _merged_roots(roots, here)
+        rest = shared.where(crowded)
+        if width >= total or rest.isEmpty():
+            discard(shared, sets)
+            return roots
+        # A band goes on with the minhashes behind its own, so that cells shrink until their sets agree in all of them.
+        following = [F.get("mins", F.pmod((F.col("band") + 1) * BAND_ROWS + k, F.lit(total))) for k in range(width - BAND_ROWS, min(width + more, total) - BAND_ROWS)]
+        rows = cut(rest.select("node", "band", "cell").join(nodes.select("node", "mins"), "node").select("node", "band", F.xxhash64("cell", *following).alias("cell")), "rest")
+        discard(shared)
+        width, more = min(width + more, total), more * 2
+
+
+def _merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (node, root) with the classes that the new links (a, b) join."""
+    if links.isEmpty():
+        return roots
+    known = roots.select(F.col("node").alias("a"), "root")
+    between = links.join(known, "a", "left").select(F.coalesce("root", "a").alias("x"), F.col("b").alias("a")).join(known, "a", "left").select(F.col("x").alias("a"), F.coalesce("root", "a").alias("b"))
+    moved = connected_components(between)
+    old = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("end")), "root", "left").select("node", F.coalesce("end", "root").alias("root"))
+    out = cut(old.unionByName(moved.join(roots, "node", "left_anti")), "roots")
+    discard(roots, moved)
+    return out
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, bits: int = RADIUS) -> DataFrame:
-    """docs with one row of each class: the one with the least id, nulls last, and then the first in (file, row). Columns unchanged.
+    """docs with one row of each class: the one with the least id, nulls last, then by a digest of the text, and then the first
+    in (file, row). Columns unchanged.
 
     Classes are those of links between texts whose sets of `shingle`-word shingles have a Jaccard similarity of `similarity` or
-    more (see similar_links). Null, empty and blank texts are one class; texts shorter than a shingle are one shingle.
+    more (see similar_roots). Null, empty and blank texts are one class; texts shorter than a shingle are one shingle.
     Rows are told apart by their place, so null and repeated ids are only an order. Empty in, empty out.
     """
     numbered = with_row_id(docs)
     rows = cut(sketches(numbered, shingle, id_col, text_col), "sketches")
-    nodes = cut(rows.groupBy("node").agg(F.min_by(F.struct("n", "fp", "mins", *ROW), F.struct(*ROW)).alias("x")).select("node", "x.*"), "nodes")
-    roots = connected_components(similar_links(numbered, nodes, shingle, similarity, bits, text_col))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)
+    nodes = pivot_table(rows.groupBy("node").agg(F.min_by(F.struct("n", "fp", "mins", *ROW), F.struct(*ROW)).alias("x")).select("node", "x.*"))
+    nodes = cut(nodes, "nodes")
+    roots = similar_roots(numbered, nodes, shingle, similarity, bits, text_col)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", *ROW)
     classes = rows.select("node", place.alias("place")).join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("place").alias("place"))
     kept = cut(classes.select(*[F.col(f"place.{c}").alias(c) for c in ROW]), "kept")
+    discard(rows, nodes, roots)
     return numbered.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
