@@ -130,15 +130,46 @@ def test_quality_counts_and_outliers(spark):
     assert quality.judged(spark.createDataFrame([(1, "x")], "doc_id long, text string")).first()["kept"] is False
 
 
-def test_concentration_finds_the_bulk(spark):
-    """A quarter of far points does not move the estimate: the centre stays at the bulk."""
+def brute_mcd(x, starts=100):
+    """Squared distances from the subset of least determinant over many random starts, concentrated to the end, then reweighted."""
+    rng, n = np.random.default_rng(1), len(x)
+    h = -(-3 * n // 4)
+
+    def moments(rows, factor):
+        return rows.mean(0), np.cov(rows.T, bias=True) * factor + np.diag(quality.FLOOR)
+
+    def distances(m, s):
+        return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+
+    best = None
+    for _ in range(starts):
+        m, s = moments(x[rng.choice(n, 8, replace=False)], 1.0)
+        for _ in range(30):
+            m, s = moments(x[np.argsort(distances(m, s))[:h]], quality.CONSISTENCY)
+        if best is None or np.linalg.det(s) < best[0]:
+            best = np.linalg.det(s), m, s
+    m, s = moments(x[distances(*best[1:]) <= quality.WEIGHTED], quality.CONSISTENCY_WEIGHTED)
+    floor, few = np.diag(quality.FLOOR), quality.SMALL / n
+    return distances(m, (s - floor) * (1 + few) + floor * (1 + few**2))
+
+
+def test_estimates_equal_brute_force(spark):
+    """A fifth of far points, in three correlated groups of which one is small: distances and verdicts are those of the best of many random starts."""
     rng = np.random.default_rng(6)
-    bulk, far = rng.normal(0, 1, (300, 4)), rng.normal(20, 1, (90, 4))
-    df = spark.createDataFrame([("g", *map(float, x)) for x in [*bulk, *far]], "grp string, v0 double, v1 double, v2 double, v3 double")
-    row = quality.mcd_estimates(df).first()
-    assert all(abs(row[f"m{i}"]) < 0.4 for i in range(4))
-    scored = quality._with_estimate(df, quality.mcd_estimates(df)).collect()
-    assert sum(r["d2"] > quality.CUTOFF for r in scored) == 90
+    groups = {}
+    for name, n, away in (("g", 300, 20.0), ("h", 200, 6.0), ("i", 25, 9.0)):
+        mix = rng.normal(0, 1, (4, 4))
+        groups[name] = np.vstack([rng.normal(0, 1, (n, 4)) @ mix, rng.normal(away, 1, (n // 4, 4)) @ mix])
+    rows = [(k, *map(float, v)) for k, x in groups.items() for v in x]
+    df = spark.createDataFrame(rows, "grp string, v0 double, v1 double, v2 double, v3 double")
+    found = quality._distance(quality._with_group(df, quality.mcd_estimates(df))).collect()
+    for k, x in groups.items():
+        ours = {(r["v0"], r["v1"]): r["d2"] for r in found if r["grp"] == k}
+        d = np.array([ours[v[0], v[1]] for v in x])
+        want = brute_mcd(x)
+        n = {"g": 300, "h": 200, "i": 25}[k]
+        assert (d[n:] > quality.CUTOFF).all() and (want[n:] > quality.CUTOFF).all()
+        assert ((d > quality.CUTOFF) != (want > quality.CUTOFF)).sum() <= 1 and np.median(np.abs(d / want - 1)) < 0.1
 
 
 def test_each_statistic_alone_rejects(spark):
@@ -267,21 +298,40 @@ def test_mixing(spark, block):
     sizes = collections.Counter()
     for _, t, s in docs:
         sizes[s] += len(WORD.findall(t or ""))
-    taken, got = collections.Counter(), {}
     assert len(out) == len(docs) and all(0 <= r["taken"] <= 2 * r["size"] for r in out)
-    want = brute_targets(sizes)
-    per_source = df.select("doc_id", "source").distinct()
+    want, got = brute_targets(sizes), collections.Counter()
+    assert sorted({(r["source_size"], round(r["target"], 6)) for r in out}) == sorted({(sizes[s], round(t, 6)) for s, t in want.items()})
     for r in out:
-        got[r["source_size"], r["target"]] = got.get((r["source_size"], r["target"]), 0) + r["taken"]
-    for s, t in want.items():
-        match = [v for (n, x), v in got.items() if n == sizes[s] and abs(x - t) < 1e-6]
-        assert match and (abs(match[0] - t) <= 0.5 or len(match) > 1 or sum(1 for q in want if abs(want[q] - t) < 1e-6) > 1)
-    assert per_source.count() and not taken
-    again = mixing.mixed_sizes(df.repartition(5), block)
-    assert again.count() == len(docs)
+        got[r["source_size"], round(r["target"], 6)] += r["taken"]
+    for (n, t), total in got.items():
+        sharing = sum(1 for s, x in want.items() if sizes[s] == n and round(x, 6) == t)
+        assert abs(total - sharing * t) <= 0.5 * sharing
+    same = lambda rows: sorted(((r["doc_id"], r["size"], r["taken"], r["first_shard"]) for r in rows), key=repr)
+    assert same(out) == same(mixing.mixed_sizes(df.repartition(5).orderBy(F.rand(3)), block).collect())
     assert mixing.mixed_sizes(df.limit(0)).count() == 0
 
 
+def test_permutation_and_draw(spark):
+    for n in (1, 2, 7, 100, 513):
+        rows = spark.range(n).select("id", mixing.permuted(F.col("id"), F.lit(n), F.lit("k")).alias("to"))
+        both = rows.select("id", "to", mixing.permuted(F.col("to"), F.lit(n), F.lit("k"), inverse=True).alias("back")).collect()
+        assert sorted(r["to"] for r in both) == list(range(n)) and all(r["back"] == r["id"] for r in both)
+    targets = spark.createDataFrame([("a", 1000, 2000.0), ("b", 3000, 1000.0), (None, 10, 15.0), ("z", 0, 0.0)], "source string, source_size long, target double")
+    slots = mixing.draw_slots(mixing.slot_plan(targets, 7), 7, 32)
+    held = slots.collect()
+    words = collections.Counter()
+    for r in held:
+        words[r["source"]] += r["words"]
+    assert words == {"a": 2000, "b": 1000, None: 15}
+    for s in words:  # each pass takes a block once at most
+        assert max(collections.Counter((r["pass"], r["block"]) for r in held if r["source"] == s).values()) == 1
+    assert len({(r["shard"], r["place"]) for r in held}) == len(held)
+    counts = mixing.shard_counts(slots).collect()
+    shares = [r["slots"] / 32 for r in counts if r["source"] == "a" and r["shard"] < len(held) // 32]
+    p = sum(1 for r in held if r["source"] == "a") / len(held)
+    assert abs(sum(shares) / len(shares) - p) < 0.05 and 0.02 < (sum((x - p) ** 2 for x in shares) / len(shares)) ** 0.5 < 0.2
+
+
 def test_mixed_documents_hold_the_words_taken(spark):
     docs = [(i, " ".join(f"d{i}w{k}" for k in range(i % 9 * 5)) + "\n", ["a", "b", "c"][i % 3]) for i in range(60)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
