@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessiongrain.llm.common import ROW, read_table, with_row_id
+from sessiongrain.llm.common import ROW, cut, read_table, with_row_id
 
-#: Lines that name a holder and no terms: they differ between copies of one licence. Java and RE2 read it alike.
-COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(©|copyright|c\)|all rights reserved)[^\n]*"
-NO_WORD = r"[^\p{L}\p{N}]+"
+#: A line that names a holder and no terms, as it differs between copies of one licence: "copyright" or its sign begins the line, and a
+#: sign or a year is beside it, so neither a clause "c)" nor a wrapped sentence about "copyright notices" is one. Java and RE2 read it alike.
+COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright[^\p{L}\p{N}\n]*(\(c\)|©|[0-9]{4})|copyright by[^\n]*[0-9]{4}|(\(c\)|©)[^\p{L}\p{N}\n]*(copyright|[0-9]{4}))[^\n]*"
+#: The line that goes with it.
+RESERVED_LINE = r"(^|\n)[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*(\n|$)"
+NO_WORD = r"[^\p{L}\p{N}\n]+"
 #: Equivalent spellings, replaced in this order in the lower-case text without punctuation.
 SPELLINGS = (
     ("licence", "license"),
@@ -38,92 +46,118 @@ NOTICES = {
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0."),
     "CC0-1.0": ("Released under CC0 1.0.", "Licensed under CC0 1.0."),
 }
-#: SHA-256 of the canonical form of whole licence texts.
-FULL_TEXTS = {
-    "6c833965e9ca4cf8095655005226f24fe8bf7b1605dbe513204837a7371fa127": "MIT",
-    "0cf21bdfd1964a97a8615e128534845826afbc887edc95aa5c925cbf64386b5c": "MIT",
-    "35a446201226de6b27cfb7106d0f6c697f63bfeac2913dcf89024911e66ef164": "MIT",
-    "6ad3654379e72bbdf8478d5c90fb1e2525aba033fbe675e0ef2248aac67c0f6f": "MIT",
-    "cc65957a28f15bbcef5b0c23770aae3bd8462cb25904250f77a812ab3b2efe15": "BSD-3-Clause",
-    "9b83d3dee0616d07b82a272dd9bf5134a9f402b750f5ee6188458073b0a32ff2": "BSD-3-Clause",
-    "a56fee4b2f66331ed54da4950ef9c9391453fd1490b4d8ea202bc29683bcbd30": "BSD-2-Clause",
-    "51035b0a5d179346203c9b71e0b7d7de16ee94a786f9075234c73066d316a414": "Apache-2.0",
-    "f9025599e0f918f2415bcbe38c0ea3c968e45c3053cebc91c4871c425e5bd096": "Apache-2.0",
-    "2874fe650ce560189bb57806fb13df13cff8babb7ce0828b2b6e5a023a8c65d1": "GPL-3.0",
-    "b11151f61981ca17da497fcb8c8121b428025ad69047e2dc808bcd12bae2f8d8": "GPL-2.0",
-    "4d92e9e8c375198d0ba9e47f0acd4c3b7aca8ff73db484b299330bac0fe9096b": "LGPL-3.0",
-    "079f4ac7130972fce9b51fec7288614d0b8fa45502afa12457191679f5fa0922": "LGPL-2.1",
-    "177c1c438fb42f90b8731e09e34586ae67f0398ef55fce225128d50088786626": "MPL-2.0",
-    "a8e36ca680c86d48f9247227ca6a70daaf97dc667d4e9c5cfb893e336cc63364": "CC0-1.0",
-    "e70f40f3a50995855f972521fe4eaa4af360a4597e5914977b6093cce5243480": "GFDL-1.3",
-    "d2b23eebee8dffc3ce5826573923b91ea545b899c3bbafcd34ece6fcfbd60673": "Artistic-1.0-Perl",
-}
+#: Whole licences: one file each, named by its identifier, so that digests can be computed anew.
+TEXTS = Path(__file__).parent / "license_texts"
 
 
-def canonical(text: Column) -> Column:
-    """Lower case, copyright lines out, every run without letters or digits one space, one spelling."""
+def folded(text: Column) -> Column:
+    """Lower case, copyright lines out, runs of other characters than letters, digits and newlines one space, one spelling in each line."""
     out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "\n")
-    out = F.trim(F.regexp_replace(out, NO_WORD, " "))
+    out = F.regexp_replace(F.regexp_replace(out, RESERVED_LINE, "\n"), NO_WORD, " ")
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
 
 
+def joined(lines: Column) -> Column:
+    """The canonical form of a folded text: line ends are spaces, and spellings that a line end parted are mended."""
+    out = F.trim(F.regexp_replace(lines, "[ \n]+", " "))
+    for a, b in SPELLINGS:
+        if " " in a:
+            out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def canonical(text: Column) -> Column:
+    return joined(folded(text))
+
+
+def canonical_text(text: str) -> str:
+    """The same form in Python, for the fixed table and as the expectation of tests: written apart from the expressions above."""
+    word = r"[^\W_]"
+    kept = []
+    for line in text.lower().split("\n"):
+        start = re.match(rf"(?:(?!{word}|\(c\)|©).)*(.*)", line)[1]
+        sign = re.match(rf"copyright(?:(?!{word}|\(c\)|©).)*(?:\(c\)|©|[0-9]{{4}})|copyright by.*[0-9]{{4}}|(?:\(c\)|©)(?:(?!{word}).)*(?:copyright|[0-9]{{4}})", start)
+        only = " ".join(re.findall(rf"{word}+", line))
+        if not sign and only != "all rights reserved":
+            kept.append(only)
+    spelled = [_spell(x, SPELLINGS) for x in kept]
+    return _spell(" ".join(x for x in spelled if x), [p for p in SPELLINGS if " " in p[0]])
+
+
+def _spell(text: str, pairs) -> str:
+    for a, b in pairs:
+        text = text.replace(a, b)
+    return text
+
+
+@cache
+def known_digests() -> dict[str, str]:
+    """digest -> licence of the files and notices: some dozens."""
+    texts = [(f.stem, f.read_text()) for f in sorted(TEXTS.glob("*.txt"))] + [(k, t) for k, all_ in NOTICES.items() for t in all_]
+    found: dict[str, str] = {}
+    for name, text in texts:
+        digest = hashlib.sha256(canonical_text(text).encode()).hexdigest()
+        found[digest] = min(name, found.get(digest, name))
+    return found
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """(digest, license): the fixed tables above, a few dozen rows."""
-    notices = spark.createDataFrame([(k, t) for k, texts in NOTICES.items() for t in texts], "license string, text string")
-    whole = spark.createDataFrame([(d, k) for k, d in FULL_TEXTS.items()], "digest string, license string")
-    return whole.unionByName(notices.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license")).groupBy("digest").agg(F.min("license").alias("license"))
+    """(digest, license) of known_digests(), as literal rows."""
+    return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{d}', '{k}')" for d, k in known_digests().items()) + " AS known(digest, license)")
 
 
 def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, digest, license (of the whole text, or null), n_notices, notices.
 
-    The whole text, and each line as a text of its own, is put in canonical form, and its digest is joined to
+    A text is folded once; its digest and that of each of its lines, as a text of its own, are joined to
     the known digests; notices are the distinct licences of the lines, sorted. The table given is broadcast only by the
     planner's own size limit. Null texts count as empty; texts without letters have the digest of the
     empty string, which no licence has. Null and repeated ids are carried; empty in, empty out.
     """
-    spark = docs.sparkSession
-    known = known_licenses(spark) if known is None else known
-    known = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select(F.col("digest").alias("known"), "license")
-    rows = with_row_id(docs).select(*ROW, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = rows.select(*ROW, F.explode(F.split("text", "\n")).alias("line"))
-    found = lines.select(*ROW, F.sha2(canonical(F.col("line")), 256).alias("known")).join(known, "known")
+    known = known_licenses(docs.sparkSession) if known is None else known
+    known = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select(F.unhex("digest").alias("known"), "license")
+    lines = with_row_id(docs).select(*ROW, F.col(id_col).alias("doc_id"), folded(F.col(text_col)).alias("folded"))
+    each = F.transform(F.filter(F.transform(F.split("folded", "\n"), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.unhex(F.sha2(x, 256)))
+    rows = cut(lines.select(*ROW, "doc_id", F.unhex(F.sha2(joined(F.col("folded")), 256)).alias("whole"), each.alias("lines")), "digests")
+    found = rows.select(*ROW, F.explode("lines").alias("known")).join(known, "known")
     notices = found.groupBy(*ROW).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("all"))
-    whole = rows.select(*ROW, "doc_id", F.sha2(canonical(F.col("text")), 256).alias("digest"))
-    whole = whole.join(known, F.col("digest") == F.col("known"), "left").drop("known")
-    return whole.join(notices, ROW, "left").select("doc_id", "digest", "license", F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"), F.coalesce("all", F.lit("")).alias("notices"))
+    whole = rows.select(*ROW, "doc_id", "whole").join(known, F.col("whole") == F.col("known"), "left").drop("known")
+    return whole.join(notices, ROW, "left").select("doc_id", F.lower(F.hex("whole")).alias("digest"), "license", F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"), F.coalesce("all", F.lit("")).alias("notices"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read_table(spark, sf_dir, "documents"))
 
 
-def _sql_canonical(text: str) -> str:
-    out = f"regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT_LINE}', chr(10), 'g')"
-    out = f"trim(regexp_replace({out}, '{NO_WORD}', ' ', 'g'), ' ')"
-    for a, b in SPELLINGS:
-        out = f"replace({out}, '{a}', '{b}')"
-    return f"sha256({out})"
-
-
 def _sql() -> str:
-    notices = ", ".join(f"('{k}', '{t}')" for k, texts in NOTICES.items() for t in texts)
-    whole = "".join(f" UNION ALL SELECT '{d}', '{k}'" for k, d in FULL_TEXTS.items())
-    return f"""
-WITH known AS (
-  SELECT digest, min(license) AS license
-  FROM (SELECT {_sql_canonical("t")} AS digest, k AS license FROM (VALUES {notices}) AS v(k, t){whole})
-  GROUP BY digest
-), lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
+    """Each line is judged and folded as a row of its own; known digests are those that Python computes."""
+    known = ", ".join(f"('{d}', '{k}')" for d, k in known_digests().items())
+    begins = r"regexp_matches(line, '^[^\p{L}\p{N}]*(copyright[^\p{L}\p{N}]*(\(c\)|©|[0-9]{4})|copyright by.*[0-9]{4}|(\(c\)|©)[^\p{L}\p{N}]*(copyright|[0-9]{4}))')"
+    parted = [p for p in SPELLINGS if " " in p[0]]
+    return rf"""
+WITH known(digest, license) AS (VALUES {known}), lines AS (
+  SELECT doc_id, unnest(string_split(lower(coalesce(text, '')), chr(10))) AS line, unnest(range(len(string_split(lower(coalesce(text, '')), chr(10))))) AS pos FROM documents
+), plain AS (
+  SELECT doc_id, pos, line, trim(regexp_replace(line, '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' ') AS words FROM lines WHERE NOT {begins}
+), spelled AS (
+  SELECT doc_id, pos, {_nested("words", SPELLINGS)} AS words FROM plain WHERE words NOT IN ('', 'all rights reserved')
+), whole AS (
+  SELECT doc_id, sha256({_nested("string_agg(words, ' ' ORDER BY pos)", parted)}) AS digest FROM spelled GROUP BY doc_id
 ), notices AS (
   SELECT doc_id, count(*) AS n_notices, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
-  FROM lines JOIN known ON known.digest = {_sql_canonical("line")} GROUP BY doc_id
+  FROM spelled JOIN known ON known.digest = sha256(words) GROUP BY doc_id
 )
-SELECT d.doc_id, d.digest, k.license, coalesce(n.n_notices, 0)::BIGINT AS n_notices, coalesce(n.notices, '') AS notices
-FROM (SELECT doc_id, {_sql_canonical("text")} AS digest FROM documents) AS d
-LEFT JOIN known AS k ON k.digest = d.digest
+SELECT d.doc_id, coalesce(w.digest, sha256('')) AS digest, k.license, coalesce(n.n_notices, 0)::BIGINT AS n_notices, coalesce(n.notices, '') AS notices
+FROM documents AS d
+LEFT JOIN whole AS w ON w.doc_id = d.doc_id
+LEFT JOIN known AS k ON k.digest = w.digest
 LEFT JOIN notices AS n ON n.doc_id = d.doc_id
 """
+
+
+def _nested(text: str, pairs) -> str:
+    for a, b in pairs:
+        text = f"replace({text}, '{a}', '{b}')"
+    return text
