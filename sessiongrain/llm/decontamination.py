@@ -5,61 +5,33 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sessiongrain.llm.common import ROW, bounded_batches, cut, read_table, with_row_id
 from sessiongrain.llm.near_duplicates import text_buffers
 
 #: Edits allowed for each byte of a normalised item. Pieces are then about 16 bytes, long enough to be rare.
 ERROR_SHARE = 0.06
-#: Items shorter than this, normalised, say too little to be evidence and are no test items here.
-LEAST_BYTES = 32
+#: Items shorter than this, normalised, allow no edit and must stand between word bounds: a part of them, or of a word, is no evidence.
+EXACT_BYTES = 32
 #: Normalised bytes of items that one pass over the documents looks for; more items take more passes.
 BLOCK_BYTES = 2 << 20
 
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-_FOLD[[b for b in range(128) if not chr(b).isalnum()]] = 32
-
-
-def normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts (UTF-8, end to end) with ASCII and Latin-1 letters in lower case and every run of other ASCII
-    characters one space, none at either end. Returns the new bytes and offsets."""
-    if not len(data):
-        return data, offsets
-    out = _FOLD[data]
-    upper = np.zeros(len(out), bool)
-    upper[1:] = (out[:-1] == 0xC3) & (out[1:] >= 0x80) & (out[1:] <= 0x9E) & (out[1:] != 0x97)
-    out[upper] += 32
-    space = out == 32
-    lead = np.zeros(len(out) + 1, bool)
-    lead[offsets] = True
-    drop = np.zeros(len(out), bool)
-    drop[1:] = space[1:] & space[:-1]
-    drop |= space & lead[:-1]
-    keep = ~drop
-    places = np.concatenate([[0], np.cumsum(keep)])
-    out, at = out[keep], places[offsets]
-    # The space that is left at a text's end goes too.
-    tail = at[1:][np.diff(at) > 0] - 1
-    gone = tail[out[tail] == 32]
-    if len(gone):
-        keep = np.ones(len(out), bool)
-        keep[gone] = False
-        out, at = out[keep], np.concatenate([[0], np.cumsum(keep)])[at]
-    return out, at
-
-
-def normalised(text: str | None) -> bytes:
-    raw = (text or "").encode()
-    return normalise(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].tobytes()
+#: What stands between words: everything but letters, their marks and digits.
+NO_WORD = r"[^\p{L}\p{M}\p{N}]+"
+
+
+def fold(text: Column) -> Column:
+    """Lower case, and every run of other characters than letters, marks and digits, in any script, one space, none at either end. Null: empty."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NO_WORD, " "))
 
 
 def budget(size: int) -> int:
-    return int(size * ERROR_SHARE)
+    """Edits allowed for an item of so many bytes."""
+    return int(size * ERROR_SHARE) if size >= EXACT_BYTES else 0
 
 
 def pieces(item: bytes) -> list[tuple[int, bytes]]:
@@ -128,7 +100,11 @@ class Matcher:
                 while j + 1 < len(ordered) and ordered[j + 1] - ordered[j] <= 2 * room:
                     j += 1
                 low, high = max(0, ordered[i] - room), ordered[j] + len(item) + room
-                distance, end = best_match(item, text[low:high])
+                if len(item) < EXACT_BYTES:  # the whole item is the piece that was found
+                    bounded = text[low - 1 : low] in (b"", b" ") and text[high : high + 1] in (b"", b" ")
+                    distance, end = (0 if bounded else room + 1), len(item)
+                else:
+                    distance, end = best_match(item, text[low:high])
                 if distance <= room:
                     places += 1
                     if best is None or distance < best:
@@ -143,13 +119,11 @@ _MATCHERS: dict[int, Matcher] = {}
 
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, bytes]]]:
-    """The test items, normalised, in blocks of bounded size; equal items once for each id. Null and short items are left out."""
+    """The test items, folded, in blocks of bounded size; equal items once for each id. Items without a letter or digit are left out."""
     block: list[tuple[int | None, bytes]] = []
     held = 0
-    for row in benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.length("t") > 0).orderBy("i", "t").toLocalIterator():
-        item = normalised(row["t"])
-        if len(item) < LEAST_BYTES:
-            continue
+    for row in benchmark.select(F.col(id_col).alias("i"), fold(F.col(text_col)).alias("t")).where(F.length("t") > 0).orderBy("i", "t").toLocalIterator():
+        item = row["t"].encode()
         if block and held + len(item) > block_bytes:
             yield block
             block, held = [], 0
@@ -159,22 +133,23 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per (document, test item in it): ROW columns, doc_id, item_id, distance, n_places.
 
-    Item and text are compared as bytes in lower case with punctuation and white space as single spaces; an item is in
-    a text if some part of the text is within budget(item) edits of the whole item. Each item is split into
+    Item and text are compared as folded bytes (see fold); an item is in a text if some part of the text is within budget(item)
+    edits of the whole item; short items, which have no budget, must be there between word bounds. Each item is split into
     budget + 1 pieces, texts are scanned once for all pieces, and each window around a hit is verified; nothing is
     capped. Items go in blocks of bounded bytes (one pass over the documents each), so what an executor holds
     does not grow with the benchmark. Null texts and null items match nothing; null and repeated ids are
     carried; empty tables give an empty result.
     """
     bounded_batches(docs.sparkSession)
-    rows = with_row_id(docs).select(*ROW, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{ROW[0]} long, {ROW[1]} long, doc_id {kind}, item_id long, distance int, n_places int"
+    rows = with_row_id(docs).select(*ROW, F.col(id_col).alias("doc_id"), fold(F.col(text_col)).alias("text"))
+    kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((docs, id_col), (benchmark, item_col)))
+    schema = f"{ROW[0]} long, {ROW[1]} long, doc_id {kind}, item_id {item_kind}, distance int, n_places int"
+    arrow_kind = to_arrow_type(benchmark.schema[item_col].dataType)
     result = None
-    for block in item_blocks(benchmark, block_bytes=block_bytes):
+    for block in item_blocks(benchmark, item_col, item_text, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)  # at most block_bytes
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -184,13 +159,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 _MATCHERS[key] = Matcher(shared.value)
             matcher = _MATCHERS[key]
             for batch in batches:
-                data, offsets = normalise(*text_buffers(batch.column(3)))
+                data, offsets = text_buffers(batch.column(3))
                 raw = data.tobytes()
                 hits = [(i, *hit) for i in range(batch.num_rows) for hit in matcher.find(raw[offsets[i] : offsets[i + 1]])]
                 if hits:
                     at = pa.array([h[0] for h in hits])
                     columns = [[matcher.items[h[1]][0] for h in hits], [h[2] for h in hits], [h[4] for h in hits]]
-                    kinds = (pa.int64(), pa.int32(), pa.int32())
+                    kinds = (arrow_kind, pa.int32(), pa.int32())
                     yield pa.RecordBatch.from_arrays([*[batch.column(k).take(at) for k in range(3)], *map(pa.array, columns, kinds)], [*ROW, "doc_id", "item_id", "distance", "n_places"])
 
         found = rows.mapInArrow(run, schema)
@@ -199,7 +174,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows that hold a test item. Columns unchanged."""
+    """docs without the rows that hold a test item. Columns unchanged.
+
+    Rows are told apart by their place: null and repeated ids only ride along, equal rows go or stay together; null and empty
+    texts stay; an empty benchmark removes nothing; columns named like those of the result are kept; empty in, empty out.
+    """
     found = cut(contaminated(docs, benchmark).select(*ROW).distinct(), "contaminated")
     return with_row_id(docs).join(found, ROW, "left_anti").select(*docs.columns)
 
