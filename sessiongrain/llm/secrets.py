@@ -31,12 +31,12 @@ RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", True, 6, 2),
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]+", least=24),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36}"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("hub_token", r"(gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,})"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("bearer", r"bearer\x20+[A-Za-z0-9._~+/-]{20,}", True),
-    Rule("url_login", r"://[^\x20\x09-\x0D/:@]{1,64}:[^\x20\x09-\x0D/:@]{3,64}@"),
+    Rule("url_login", r"://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]{3,}@"),
 )
 
 #: A Boolean query: None for "any document", a string for one trigram, ("and" | "or", parts).
@@ -126,53 +126,54 @@ def trigrams(query: Query) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*map(trigrams, query[1]))
 
 
-def _holds(query: Query, bit: dict[str, int], mask: Column) -> Column:
-    if query is None:
-        return F.lit(True)
-    if isinstance(query, str):
-        return F.shiftright(mask, bit[query]).bitwiseAND(F.lit(1)) == 1
-    out = None
-    for part in query[1]:
-        x = _holds(part, bit, mask)
-        out = x if out is None else (out & x if query[0] == "and" else out | x)
-    return out
-
-
 def postings(rows: DataFrame, wanted: list[str]) -> DataFrame:
     """The inverted index of the wanted trigrams: (trigram, ROW columns), one row for each document that has it.
 
     Only trigrams of some rule's query are indexed; a row's folded text is searched for each of them.
     """
     folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    hits = F.array_compact(F.array(*[F.when(F.contains(F.col("folded"), F.lit(t)), F.lit(i)) for i, t in enumerate(wanted)]))
+    hits = F.array_compact(F.array(*[F.when(F.contains(F.col("folded"), F.lit(t)), F.lit(t)) for t in wanted]))
     return rows.select(*ROW, folded.alias("folded")).select(*ROW, F.explode(hits).alias("trigram"))
 
 
-def candidates(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """(ROW columns, rules): for each document the set of rules, as bits, whose query its postings satisfy; only non-empty sets."""
-    asked = {r.kind: trigram_query(r.pattern) for r in rules}
-    wanted = sorted(set().union(*map(trigrams, asked.values())))
-    if len(wanted) > 63 * 8:
-        raise ValueError("more query trigrams than the bit sets hold")
-    words = [wanted[i : i + 63] for i in range(0, len(wanted), 63)]
-    sets = [F.bit_or(F.when(F.floor(F.col("trigram") / 63) == i, F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("trigram") % 63).cast("int"))).otherwise(F.lit(0).cast("long"))).alias(f"set{i}") for i in range(len(words))]
-    found = postings(rows, wanted).groupBy(*ROW).agg(*sets)
-
-    def holds(query: Query) -> Column:
-        if isinstance(query, str):
-            k = wanted.index(query)
-            return _holds(query, {query: k % 63}, F.col(f"set{k // 63}"))
-        parts = [holds(p) for p in query[1]]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out & p if query[0] == "and" else out | p
+def _intersected(lists: DataFrame, query: Query) -> DataFrame:
+    """(ROW columns) of the documents that a Boolean query of trigrams asks for, from its posting lists (trigram, ROW columns).
+
+    The lists are merged by document: what a document has of the query's trigrams is a set of bits, partially aggregated,
+    and the query is evaluated on it.
+    """
+    own = sorted(trigrams(query))
+    words = range(-(-len(own) // 63))
+    at = F.element_at(F.map_from_arrays(F.array(*map(F.lit, own)), F.array(*[F.lit(i) for i in range(len(own))])), F.col("trigram"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 63).cast("int"))
+    sets = [F.bit_or(F.when(F.floor(F.col("at") / 63) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"set{w}") for w in words]
+    found = lists.where(F.col("trigram").isin(own)).withColumn("at", at).groupBy(*ROW).agg(*sets)
+
+    def holds(q: Query) -> Column:
+        if isinstance(q, str):
+            k = own.index(q)
+            return F.shiftright(F.col(f"set{k // 63}"), k % 63).bitwiseAND(F.lit(1)) == 1
+        out = holds(q[1][0])
+        for part in q[1][1:]:
+            out = out & holds(part) if q[0] == "and" else out | holds(part)
         return out
 
-    bits = F.lit(0)
+    return found.where(holds(query)).select(*ROW)
+
+
+def candidates(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(ROW columns, rules): for each document the set of rules, as bits, whose query its postings satisfy; only non-empty sets.
+
+    The postings are written once, sorted by trigram within each file, so that a rule reads only the parts with its own lists.
+    """
+    asked = {r.kind: trigram_query(r.pattern) for r in rules}
+    index = cut(postings(rows, sorted(set().union(*map(trigrams, asked.values())))).sortWithinPartitions("trigram"), "postings")
+    found = None
     for i, r in enumerate(rules):
         if asked[r.kind] is not None:
-            bits = bits + F.when(holds(asked[r.kind]), 1 << i).otherwise(0)
-    return found.select(*ROW, bits.alias("__sg_rules")).where("__sg_rules > 0")
+            own = _intersected(index, asked[r.kind]).withColumn("bit", F.lit(1 << i))
+            found = own if found is None else found.unionByName(own)
+    return found.groupBy(*ROW).agg(F.bit_or("bit").alias("__sg_rules"))
 
 
 def _spans(text: Column, rule: Rule, order: int) -> Column:
