@@ -319,7 +319,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
 def op3_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(read_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    kept = F.octet_length("kept").cast("long")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", kept.alias("n_kept"), (F.col("n_removed") > 0).alias("removed"), "spans")
 
 
 assert GRAM <= LENGTH - SPAN
