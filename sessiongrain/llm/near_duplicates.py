@@ -328,8 +328,8 @@ def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
     return docs.select(*ROW, F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def _shingle_sets(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
-    """(node, shingles) of a table with node and texts: the sets of shingle hashes."""
+def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of a table with node and text: the sets of shingle hashes."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +338,7 @@ def _shingle_sets(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
             sets = [np.unique(h) for h in np.split(hashes.view(np.int64), np.cumsum(count)[:-1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return docs.select("node", F.col(text_col).alias("text")).mapInArrow(run, "node long, shingles array<long>")
+    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
 def similar_roots(numbered: DataFrame, nodes: DataFrame, shingle: int, similarity: float, bits: int, text_col: str = "text") -> DataFrame:
@@ -373,8 +373,8 @@ def similar_roots(numbered: DataFrame, nodes: DataFrame, shingle: int, similarit
         found = cut(both.select(*ends).distinct(), "candidates")
         if sets is None:
             wanted = found.select(F.explode(F.array("a", "b")).alias("node")).unionByName(shared.where(crowded).select("node")).distinct()
-            texts = numbered.join(nodes.join(wanted, "node", "left_semi").select(*ROW, "node"), ROW)
-            sets = cut(_shingle_sets(texts, shingle, text_col), "shingles")
+            texts = numbered.select(*ROW, F.col(text_col).alias("text")).join(nodes.join(wanted, "node", "left_semi").select(*ROW, "node"), ROW)
+            sets = cut(_shingle_sets(texts, shingle), "shingles")
         met = found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
         common = F.size(F.array_intersect("s", "t"))
         here = cut(met.where(common / (F.size("s") + F.size("t") - common) >= similarity).select("a", "b"), "links")
