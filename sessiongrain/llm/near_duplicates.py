@@ -366,7 +366,7 @@ def similar_roots(numbered: DataFrame, nodes: DataFrame, shingle: int, similarit
         crowded = (F.col("size") > PAIR_CELL) if width < total else F.lit(False)
         left = shared.where(~crowded).select("cell", "root", "node").join(facts, "node").drop("node")
         pairs = left.join(left.select("cell", F.col("x").alias("y"), F.col("root").alias("other")), "cell").where("root <> other and x.node < y.node").select("x", "y")
-        stars = shared.where(crowded).select("node", "root", F.explode("hubs").alias("hub")).where(F.col("root") != F.col("hub.root"))
+        stars = shared.where(crowded).select("node", F.explode(F.filter("hubs", lambda h: h["root"] != F.col("root"))).alias("hub"))
         stars = stars.select("node", F.col("hub.node").alias("to")).distinct().join(facts, "node").join(facts.select(F.col("node").alias("to"), F.col("x").alias("y")), "to").select("x", "y")
         both = pairs.unionByName(stars).where(F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")).where(_within("x", "y", bits))
         ends = F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
