@@ -18,6 +18,7 @@ SYNTHETIC_PREFIXES = (
     "The previous request encountered a temporary API error.",
     "This session is being continued from a previous conversation that ran out of context.",
     "[system] Previously read image bytes have been cleared",
+    "[User message] The previous PDF parsing attempt already failed",
 )
 USER_MARKERS = ("### User message",)
 # Event types that say nothing about how a turn ended.

@@ -287,12 +287,12 @@ def configuration_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT n_nationkey, n_name, count(DISTINCT c_custkey) AS n_cases, count(DISTINCT CASE WHEN c_acctbal < 0 THEN c_custkey END) AS n_flagged
-FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_nationkey % 3 <> 0) ON c_nationkey = n_nationkey GROUP BY ALL
+SELECT n_nationkey, n_name, count(DISTINCT c_custkey) AS n_cases, count(DISTINCT CASE WHEN c_acctbal > 9500 THEN c_custkey END) AS n_flagged
+FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 9000) ON c_nationkey = n_nationkey GROUP BY ALL
 """)
 def incidence_with_zero_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where("c_nationkey % 3 <> 0").withColumnRenamed("c_nationkey", "n_nationkey")
-    return rollups.incidence(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), c, "n_nationkey", "c_custkey", F.col("c_acctbal") < 0)
+    c = table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY' AND c_acctbal > 9000").withColumnRenamed("c_nationkey", "n_nationkey")
+    return rollups.incidence(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), c, "n_nationkey", "c_custkey", F.col("c_acctbal") > 9500)
 
 
 @query("SELECT p_brand, p_partkey, p_retailprice, rank FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey)::INTEGER AS rank FROM part) WHERE rank <= 3")
@@ -354,14 +354,19 @@ def set_difference_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT event_id, event_type, value FROM events WHERE event_id % 5 <> 0), b AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'changed' ELSE event_type END AS event_type, value FROM events WHERE event_id % 3 <> 0)
-SELECT coalesce(a.event_id, b.event_id) AS event_id, CASE WHEN a.event_id IS NULL THEN 'added' WHEN b.event_id IS NULL THEN 'removed' WHEN a.event_type = b.event_type AND a.value = b.value THEN 'same' ELSE 'changed' END AS change
-FROM a FULL OUTER JOIN b ON a.event_id = b.event_id
+WITH b AS (SELECT l_orderkey, l_linenumber, max(l_returnflag) AS flag, max(l_quantity) AS quantity FROM lineitem WHERE l_linestatus = 'F' OR l_discount > 0.02 GROUP BY ALL),
+a AS (SELECT l_orderkey, l_linenumber, max(CASE WHEN l_tax > 0.05 THEN 'N' ELSE l_returnflag END) AS flag, max(l_quantity) AS quantity FROM lineitem WHERE l_linestatus = 'O' OR l_quantity > 5 GROUP BY ALL)
+SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, coalesce(a.l_linenumber, b.l_linenumber) AS l_linenumber,
+  CASE WHEN a.l_orderkey IS NULL THEN 'added' WHEN b.l_orderkey IS NULL THEN 'removed' WHEN a.flag = b.flag AND a.quantity = b.quantity THEN 'same' ELSE 'changed' END AS change
+FROM a FULL OUTER JOIN b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber
 """)
 def case_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    new = e.where("event_id % 3 <> 0").withColumn("event_type", F.when(F.col("event_id") % 7 == 0, "changed").otherwise(F.col("event_type")))
-    return rollups.compare(e.where("event_id % 5 <> 0"), new, ["event_id"], ["event_type", "value"])
+    """Two versions of the order lines, by what they say of themselves."""
+    rows = table(spark, sf_dir, "lineitem")
+    version = lambda df, flag: df.groupBy("l_orderkey", "l_linenumber").agg(F.max(flag).alias("flag"), F.max("l_quantity").alias("quantity"))
+    old = version(rows.where("l_linestatus = 'O' OR l_quantity > 5"), F.when(F.col("l_tax") > 0.05, "N").otherwise(F.col("l_returnflag")))
+    new = version(rows.where("l_linestatus = 'F' OR l_discount > 0.02"), F.col("l_returnflag"))
+    return rollups.compare(old, new, ["l_orderkey", "l_linenumber"], ["flag", "quantity"])
 
 
 @query("SELECT doc_id, lang, source FROM documents WHERE lang = 'en' AND contains(lower(source || ' ' || text), 'license')")
@@ -390,13 +395,16 @@ def redact_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", (F.col("text") != F.col("t")).alias("changed"), F.sha2("t", 256).alias("redacted_sha256"))
 
 
-@query("""
-WITH m AS (SELECT page_id, regexp_replace(trim(url, ' '), 'https?://[^\\s]+', '[链接]', 'g') || ' ' || left(html, 100) AS t FROM pages)
-SELECT page_id, CASE WHEN length(t) > 60 THEN rtrim(left(t, 59), ' ') || '…' ELSE t END AS masked FROM m
-""")
+MASK_SQL = "t"
+for _pattern, _mask in (*scalars.PUBLIC_MASKS[:3], (r"(^|[^\p{L}\p{M}\p{N}_.])/(?:[^\s/]+/)+[^\s,;，。；：:]+", r"\1" + scalars.PUBLIC_MASKS[3][1])):  # no look-behind in RE2
+    MASK_SQL = f"regexp_replace({MASK_SQL}, '{_pattern}', '{_mask}', 'g')"
+
+
+@query(f"SELECT page_id, length({MASK_SQL}) AS n_chars, sha256({MASK_SQL}) AS masked_sha256 FROM (SELECT page_id, url || ' ' || html AS t FROM pages)")
 def public_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = F.concat(scalars.replace_all(F.trim("url"), scalars.PUBLIC_MASKS[:1]), F.lit(" "), F.left("html", F.lit(100)))
-    return table(spark, sf_dir, "pages").select("page_id", scalars.truncate(masked, 60).alias("masked"))
+    """All masks over whole addresses and pages."""
+    masked = scalars.replace_all(F.concat_ws(" ", "url", "html"), scalars.PUBLIC_MASKS)
+    return table(spark, sf_dir, "pages").select("page_id", masked.alias("m")).select("page_id", F.length("m").cast("long").alias("n_chars"), F.sha2("m", 256).alias("masked_sha256"))
 
 
 @query("SELECT doc_id, 'case_' || left(sha256(lang || '|' || source || '|' || doc_id), 24) AS case_id FROM documents")
@@ -436,14 +444,17 @@ def prompt_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH q AS (SELECT doc_id, substr(text, 5, 30) AS quote, 'ev' || (doc_id % 900) AS event_id FROM documents WHERE length(text) > 40), e AS (SELECT 'ev' || doc_id AS event_id, text FROM documents WHERE doc_id < 800)
-SELECT q.doc_id, CASE WHEN e.text IS NULL THEN 'unknown_event' WHEN contains(e.text, q.quote) THEN 'valid' ELSE 'quote_not_exact' END AS outcome FROM q LEFT JOIN e ON e.event_id = q.event_id
+WITH q AS (SELECT doc_id, substr(text, 5, 30) AS quote FROM documents WHERE length(text) > 40), t AS (SELECT doc_id, max(doc_id) OVER (PARTITION BY lang, source ORDER BY doc_id ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS before FROM documents),
+a AS (SELECT q.doc_id, quote, q.doc_id AS event_id, 'own' AS kind FROM q UNION ALL SELECT q.doc_id, quote, coalesce(before, -1), 'other' FROM q JOIN t USING (doc_id))
+SELECT a.doc_id, a.kind, CASE WHEN e.text IS NULL THEN 'unknown_event' WHEN contains(e.text, a.quote) THEN 'valid' ELSE 'quote_not_exact' END AS outcome FROM a LEFT JOIN documents AS e ON e.doc_id = a.event_id
 """)
 def citation_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's quote against its own text and that of the document before it in its language and source; the first ones have none."""
     d = table(spark, sf_dir, "documents")
-    quotes = d.where(F.length("text") > 40).select("doc_id", F.substring("text", 5, 30).alias("quote"), F.concat(F.lit("ev"), F.col("doc_id") % 900).alias("event_id"))
-    events = d.where("doc_id < 800").select(F.concat(F.lit("ev"), "doc_id").alias("event_id"), F.col("text").alias("body"))
-    return evidence.quote_checks(quotes, events).select("doc_id", "outcome")
+    before = F.lag("doc_id").over(Window.partitionBy("lang", "source").orderBy("doc_id"))
+    quotes = d.select("doc_id", F.substring("text", 5, 30).alias("quote"), F.length("text").alias("n"), F.coalesce(before, F.lit(-1)).alias("before")).where("n > 40")
+    cited = quotes.select("doc_id", "quote", F.explode(F.array(F.struct(F.col("doc_id").alias("event_id"), F.lit("own").alias("kind")), F.struct(F.col("before").alias("event_id"), F.lit("other").alias("kind")))).alias("c")).select("doc_id", "quote", "c.*")
+    return evidence.quote_checks(cited, d.select(F.col("doc_id").alias("event_id"), F.col("text").alias("body"))).select("doc_id", "kind", "outcome")
 
 
 def value_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

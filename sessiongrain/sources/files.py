@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import json
+import os
+import tomllib
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -151,12 +153,56 @@ def registry_table(records: DataFrame) -> DataFrame:
 
 
 def markdown_table(rows: DataFrame, order: list[Column], most: int = 1000) -> str:
-    """A Markdown table of a small report; it is a report sink, so it states its row limit."""
+    """A Markdown table of a report of at most `most` rows; more are an error, never left out."""
     head = rows.columns
-    cells = [[str("" if v is None else v).replace("|", "\\|").replace("\n", " ") for v in r] for r in rows.orderBy(*order).limit(most).collect()]
+    held = rows.orderBy(*order).limit(most + 1).collect()
+    if len(held) > most:
+        raise ValueError(f"more than {most} rows: aggregate the report, or name a larger bound")
+    cells = [[str("" if v is None else v).replace("|", "\\|").replace("\n", " ") for v in r] for r in held]
     return "\n".join("| " + " | ".join(r) + " |" for r in [head, ["---"] * len(head), *cells])
 
 
+def append_durably(path: str, values: list[dict]) -> None:
+    """Append JSON lines to a local log and force them to disk before returning: for a few approvals made by hand on the driver."""
+    with open(path, "a", encoding="utf-8") as out:
+        out.writelines(json_document(v) + "\n" for v in values)
+        out.flush()
+        os.fsync(out.fileno())
+
+
+def read_settings(text: str, known: dict[str, str]) -> dict[str, str]:
+    """KEY=VALUE lines (export, comments and quotes understood) added to `known`, whose own values win."""
+    found: dict[str, str] = {}
+    for line in text.splitlines():
+        key, sign, value = line.strip().removeprefix("export ").partition("=")
+        if sign and key.strip() and not key.startswith("#"):
+            value = value.strip()
+            found.setdefault(key.strip(), value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"" else value)
+    return found | known
+
+
+def provider_settings(text: str, name: str, required: tuple[str, ...] = ("base_url", "model")) -> dict:
+    """The block [providers.name] of a TOML document; a missing block or key is an error."""
+    block = tomllib.loads(text).get("providers", {}).get(name)
+    if block is None or (missing := [k for k in required if k not in block]):
+        raise ValueError(f"provider {name}: " + ("no such block" if block is None else f"without {', '.join(missing)}"))
+    return block
+
+
+def result_path(spark: SparkSession, root: str, batch: str, run: str, named: str | None = None) -> str:
+    """The result file of a run: the named path if it exists, absolute or below root, else the only match of the run's folder; several are an error."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    there = lambda p: (at := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(at)
+    for path in ([named, f"{root}/{named}"] if named else []):
+        if there(path):
+            return path
+    top = jvm.org.apache.hadoop.fs.Path(f"{root}/{batch}/*{run}*/*.jsonl")
+    found = [s.getPath().toString() for s in top.getFileSystem(conf).globStatus(top) or []]
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} result files for {batch}/{run}")
+    return found[0]
+
+
 def crc32_hex(data: bytes) -> str:
     return f"{zlib.crc32(data):08x}"
 
