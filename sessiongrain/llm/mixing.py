@@ -17,7 +17,7 @@ SHARD_SLOTS = 4096
 #: Rounds of the pseudorandom permutations.
 ROUNDS = 32
 #: Slots that one row stands for until they are dealt over tasks.
-CHUNK = 4096
+CHUNK = 1024
 #: Rows that one bucket of the distributed prefix sums holds on average, until there are MOST_BUCKETS a source.
 BUCKET_ROWS = 256
 MOST_BUCKETS = 1 << 16
@@ -103,7 +103,9 @@ def draw_slots(plan: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int
     """
     chunks = plan.where("slots > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK))))
     inside = F.sequence(F.col("chunk") * CHUNK, F.least((F.col("chunk") + 1) * CHUNK, F.col("slots")) - 1)
-    slots = chunks.repartition("source", "chunk").withColumn("slot", F.explode(inside))
+    # A number of partitions of its own: the few rows of chunks would else be put together into one task.
+    spread = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = chunks.repartition(spread, "source", "chunk").withColumn("slot", F.explode(inside))
     slots = slots.withColumn("pass", F.floor(F.col("slot") / F.col("blocks"))).withColumn("index", F.pmod("slot", "blocks"))
     slots = slots.withColumn("block", permuted(F.col("index"), F.col("blocks"), F.col("source"), F.col("pass")))
     slots = slots.withColumn("at", permuted(F.col("first") + F.col("slot"), F.col("all_slots"), F.lit("shards")))
