@@ -65,19 +65,37 @@ def test_repeats_of_nothing(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string"), 40).count() == 0
 
 
-@pytest.mark.parametrize("run_lines", [1, 2, 3])
-def test_line_runs_equal_brute_force(spark, run_lines):
+@pytest.mark.parametrize(("run_lines", "run_words", "line_words"), [(1, 0, 99), (2, 0, 99), (3, 0, 99), (2, 5, 4), (3, 4, 3), (5, 6, 2)])
+def test_line_runs_equal_brute_force(spark, run_lines, run_words, line_words):
     rnd = random.Random(run_lines)
-    docs = [(i, "\n".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 10)))) for i in range(30)] + [(100, None), (101, ""), (102, "\n\n\n"), (103, "x\ny"), (104, "x\ny")]
-    places = collections.defaultdict(list)
+    docs = [(i, "\n".join(rnd.choice(["a", "b", "", "c  d e", "one two\tthree four"]) for _ in range(rnd.randint(1, 12)))) for i in range(30)]
+    docs += [(100, None), (101, ""), (102, "\n\n\n"), (103, "x\ny"), (104, "x\ny"), (105, docs[3][1]), (106, "w " * 5000 + "\nz"), (107, "w " * 5000)]
+    words = lambda x: len(WORD.findall(x))
+    gone = set()
+    for length in (run_lines, 1):
+        places = collections.defaultdict(list)
+        for d, t in docs:
+            lines = t.split("\n") if t is not None else []
+            for i in range(len(lines) - length + 1):
+                if length == run_lines or words(lines[i]) >= line_words:
+                    places[tuple(lines[i : i + length])].append((d, i))
+        gone |= {(d, i + k) for found in places.values() for d, i in sorted(found)[1:] for k in range(length)}
+    want = {}
     for d, t in docs:
-        lines = t.split("\n") if t is not None else []
-        for i in range(len(lines) - run_lines + 1):
-            places[tuple(lines[i : i + run_lines])].append((d, i))
-    gone = {(d, i + k) for found in places.values() for d, i in sorted(found)[1:] for k in range(run_lines)}
-    want = {d: "" if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in docs}
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("rank", F.lit(0))
-    assert {r["doc_id"]: r["kept_text"] for r in line_runs.deduplicated(df, run_lines).collect()} == want
+        lines, kept, runs = t.split("\n") if t is not None else [], [], []
+        for i, x in enumerate(lines):
+            if (d, i) not in gone:
+                kept.append(i)
+            elif runs and runs[-1][1] == i:
+                runs[-1][1] = i + 1
+            else:
+                runs.append([i, i + 1])
+        small = [r for r in runs if sum(words(x) for x in lines[r[0] : r[1]]) < run_words]
+        kept = sorted(kept + [i for r in small for i in range(*r)])
+        want[d] = ([r for r in runs if r not in small], "\n".join(lines[i] for i in kept))
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("rank", F.lit(0)).withColumn("long", F.lit(0))
+    got = line_runs.deduplicated(df, run_lines, run_words=run_words, line_words=line_words).collect()
+    assert {r["doc_id"]: ([list(x) for x in r["runs"]], r["kept_text"]) for r in got} == want
     assert line_runs.deduplicated(df.limit(0)).count() == 0
 
 
