@@ -238,19 +238,20 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, local: int = LOCAL_PHR
     span = span or min(SPAN, length * 3 // 5)
     core = length - span
     parsed = cut(parse(rows, length, span, core), "parse")
-    counts = parsed.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    # Counts are tables of their own: their joins have plain exchanges, which AQE splits where a core is hot.
+    counts = cut(parsed.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "cores")
     shared = cut(parsed.join(counts, "core"), "shared")
-    discard(parsed)
+    discard(parsed, counts)
     release(rows.sparkSession)
     one = F.min(F.struct(*ROW, "a", "b", "t")).alias("one")
     dictionary = cut(shared.groupBy("core", "phrase").agg(F.count("*").alias("copies"), one), "dictionary")
     often = dictionary.where("copies > 1").select("core", "phrase")
     spans = shared.join(often, ["core", "phrase"]).select(*ROW, F.col("a").alias("from"), (F.col("b") + length).alias("to"))
     spans = cut(spans, "spans")
-    several = dictionary.groupBy("core").agg(F.count("*").alias("phrases")).where("phrases > 1")
+    several = cut(dictionary.groupBy("core").agg(F.count("*").alias("phrases")).where("phrases > 1"), "several")
     wanted = dictionary.join(several, "core").select("one.*", "core", (F.col("phrases") <= local).alias("few"), (F.col("copies") == 1).alias("open"))
     wanted = cut(wanted, "wanted")
-    discard(shared, dictionary)
+    discard(shared, dictionary, several)
     release(rows.sparkSession)
     asked = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("a", "b", "t", "core", "few")).alias("asked"))  # a text's own phrases
 
