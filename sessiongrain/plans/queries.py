@@ -505,7 +505,7 @@ def fisher_greater(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(FISHER_SQL + """, r AS (SELECT a, b, round(p, 8) AS p FROM f), k AS (SELECT *, row_number() OVER (ORDER BY p, a, b) AS rank, count(*) OVER () AS m FROM r), h AS (SELECT sum(1.0 / i) AS h FROM range(1, (SELECT count(*) + 1 FROM r)) AS t(i))
 SELECT a, b, p, round(min(least(1.0, p * m * h / rank)) OVER (ORDER BY rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 7) AS q FROM k, h""")
 def by_adjust(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return statistics.by_adjust(fisher_greater(spark, sf_dir), "p", ["a", "b"]).select("a", "b", "p", F.round("q", 7).alias("q"))
+    return statistics.by_adjust(fisher_greater(spark, sf_dir), "p").select("a", "b", "p", F.round("q", 7).alias("q"))
 
 
 @query()
@@ -518,7 +518,7 @@ def clopper_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("hit", F.col("value") > 100)
-    return statistics.bootstrap_interval(e, "hit", "user_id", "event_type", 500).select("event_type", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
+    return statistics.bootstrap_interval(e, "hit", "user_id", "event_type").select("event_type", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 @query("SELECT level::DOUBLE AS level, count(CASE WHEN n_chars >= level THEN 1 END) AS n, round_even(count(CASE WHEN n_chars >= level THEN 1 END) / count(*), 4) AS share FROM documents, (VALUES (500), (2000), (8000)) AS t(level) GROUP BY level")

@@ -116,17 +116,64 @@ def test_selection_and_downgrades(spark):
     assert [r[0] for r in d.select(rules.reason_codes(F.lit(None).cast("boolean"), F.array(F.lit("x:incomplete"), F.lit("quote_not_exact")))).limit(1).collect()] == [["evidence_quote_not_exact", "required_analysis_fields_missing"]]
 
 
+def tail(k, n, p):
+    """P[Bin(n, p) >= k] in whole numbers and fractions' logarithms."""
+    return math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(max(k, 0), n + 1))
+
+
 def test_bounds_and_tests(spark):
     for k, n in ((0, 10), (3, 10), (10, 10), (1, 500)):
         up, low = statistics.bound(k, n, 0.95, True), statistics.bound(k, n, 0.95, False)
         if k < n:
-            assert math.isclose(1 - statistics._tail(k + 1, n, up), 0.05, abs_tol=1e-9)
+            assert math.isclose(1 - tail(k + 1, n, up), 0.05, abs_tol=1e-9)
         if k:
-            assert math.isclose(statistics._tail(k, n, low), 0.05, abs_tol=1e-9)
+            assert math.isclose(tail(k, n, low), 0.05, abs_tol=1e-9)
     df = spark.createDataFrame([(3, 4, 4, 8)], "both int, a int, b int, n int")
     assert math.isclose(statistics.fisher_greater(df, "both", "a", "b", "n").first()["p"], 17 / 70, rel_tol=1e-9)
 
 
+def test_tests_over_wide_ranges(spark):
+    """Binomial, hypergeometric and adjusted values against exact sums, on both sides of the mean and at the edges."""
+    from fractions import Fraction
+
+    cases = [(k, n) for n in (1, 2, 17, 400, 9000) for k in sorted({-1, 0, 1, n // 50, n // 20, n // 10, n - 1, n})]
+    got = statistics.binomial_cdf(spark.createDataFrame([*cases, (None, 3)], "k int, n int"), "k", "n", 0.05).collect()
+    for r in got:
+        if r["k"] is None:
+            assert r["cdf"] is None
+        else:
+            want = 0.0 if r["k"] < 0 else 1 - tail(r["k"] + 1, r["n"], 0.05) if r["k"] < r["n"] / 20 else math.fsum([1, -tail(r["k"] + 1, r["n"], 0.05)])
+            assert math.isclose(r["cdf"], want, abs_tol=1e-9), r
+    tables = [(x, a, b, n) for a, b, n in ((4, 4, 8), (0, 3, 9), (700, 800, 1000), (1500, 2000, 4000)) for x in sorted({0, min(a, b) // 2, a * b // n, min(a, b), min(a, b) + 1})]
+    for r in statistics.fisher_greater(spark.createDataFrame(tables, "x int, a int, b int, n int"), "x", "a", "b", "n").collect():
+        ways = sum(math.comb(r["a"], i) * math.comb(r["n"] - r["a"], r["b"] - i) for i in range(max(r["x"], 0), min(r["a"], r["b"]) + 1))
+        assert math.isclose(r["p"], float(Fraction(ways, math.comb(r["n"], r["b"]))), rel_tol=1e-8, abs_tol=1e-300), r
+    ps = [0.0, 1e-300, 1e-9, 0.01, 0.01, 0.011, 0.2, 0.2, 0.2, 0.7, 1.0, 1.0]
+    m, ordered = len(ps), sorted(ps)
+    h = sum(1 / i for i in range(1, m + 1))
+    want = {p: min(min(1.0, q * m * h / (j + 1)) for j, q in enumerate(ordered) if q >= p) for p in ps}
+    out = statistics.by_adjust(spark.createDataFrame([(p,) for p in [*ps, None]], "p double"), "p").collect()
+    assert len(out) == m + 1 and all((r["q"] is None) if r["p"] is None else math.isclose(r["q"], want[r["p"]], rel_tol=1e-10) for r in out)
+
+
+def test_bootstrap_follows_the_multinomial(spark):
+    """Clusters of unlike sizes, null keys among them: the interval is near that of plain resampling."""
+    import numpy as np
+
+    rows = [(c, key, (c * 7 + i) % 5 == 0) for key in ("x", None) for c in range(80) for i in range(c % 4 + 1)]
+    got = {r["k"]: r for r in statistics.bootstrap_interval(spark.createDataFrame(rows, "c int, k string, hit boolean"), "hit", "c", "k").collect()}
+    assert set(got) == {"x", None}
+    hits, size = np.zeros(80), np.zeros(80)
+    for c, key, hit in rows:
+        if key == "x":
+            hits[c] += hit
+            size[c] += 1
+    w = np.random.default_rng(1).multinomial(80, [1 / 80] * 80, 20_000)
+    low, high = np.quantile((w @ hits) / (w @ size), [0.025, 0.975])
+    for r in got.values():
+        assert abs(r["low"] - low) < 0.012 and abs(r["high"] - high) < 0.012
+
+
 def test_bootstrap_is_repeatable(spark):
     df = spark.createDataFrame([(c, "x", (c * 7) % 3 == 0) for c in range(60)], "c int, k string, hit boolean")
     a = statistics.bootstrap_interval(df, "hit", "c", "k", 200).first()
