@@ -508,7 +508,22 @@ def by_adjust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.by_adjust(fisher_greater(spark, sf_dir), "p").select("a", "b", "p", F.round("q", 7).alias("q"))
 
 
-@query()
+@query("""
+WITH RECURSIVE g AS (
+  SELECT event_type, count(DISTINCT CASE WHEN value > 200 THEN user_id END) AS k, count(DISTINCT user_id) AS n FROM events GROUP BY event_type
+), b AS (
+  SELECT event_type, k, n, 0 AS step, 0.0::DOUBLE AS l0, 1.0::DOUBLE AS l1, 0.0::DOUBLE AS u0, 1.0::DOUBLE AS u1 FROM g
+  UNION ALL
+  SELECT event_type, k, n, step + 1, CASE WHEN lt < 0.05 THEN (l0 + l1) / 2 ELSE l0 END, CASE WHEN lt < 0.05 THEN l1 ELSE (l0 + l1) / 2 END,
+    CASE WHEN ut < 0.95 THEN (u0 + u1) / 2 ELSE u0 END, CASE WHEN ut < 0.95 THEN u1 ELSE (u0 + u1) / 2 END
+  FROM (
+    SELECT *, coalesce(list_sum(list_transform(range(k, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln((l0 + l1) / 2) + (n - i) * ln(1 - (l0 + l1) / 2)))), 0) AS lt,
+      coalesce(list_sum(list_transform(range(k + 1, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln((u0 + u1) / 2) + (n - i) * ln(1 - (u0 + u1) / 2)))), 0) AS ut
+    FROM b WHERE step < 44
+  )
+)
+SELECT event_type, k, n, CASE WHEN k = 0 THEN 0.0 ELSE round((l0 + l1) / 2, 8) END AS lower, CASE WHEN k = n THEN 1.0 ELSE round((u0 + u1) / 2, 8) END AS upper FROM b WHERE step = 44
+""")
 def clopper_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_distinct("user_id").alias("n"), F.count_distinct(F.when(F.col("value") > 200, F.col("user_id"))).alias("k"))
     k, n = F.col("k"), F.col("n")
