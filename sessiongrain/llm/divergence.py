@@ -38,7 +38,7 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     def emitted(tables: dict) -> Iterator[pa.RecordBatch]:
         for (lang, source), (count, seen) in tables.items():
             terms = list(count)
-            columns = [pa.array([lang] * len(terms)), pa.array([source] * len(terms)), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(list(count.values()), pa.int64()), pa.array([seen[t] for t in terms], pa.int64())]
+            columns = [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(list(count.values()), pa.int64()), pa.array([seen[t] for t in terms], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
