@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -158,3 +158,8 @@ def semantic_anchors(quote: Column, most: int = 5) -> Column:
 
 def chunk_id(event_id: Column, offset: Column, size: int = 12_000) -> Column:
     return F.format_string("%s#chunk_%04d", event_id, F.floor(offset / size).cast("int"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once a row however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)

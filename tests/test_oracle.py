@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from sessiongrain.plans import product_queries, queries  # noqa: F401
+from sessiongrain.plans import checked_queries, product_queries, queries  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
