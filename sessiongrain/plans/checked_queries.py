@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessiongrain.operators import schemas
 from sessiongrain.plans.queries import query, table
+from sessiongrain.sources import byte_lines
 
 #: What an event record must look like; `user` stands in a schema of its own.
 USER_SCHEMA = {
@@ -62,3 +65,24 @@ SELECT event_id, path, keyword FROM v
 def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every violation of a schema, with references between schemas, by the JSON records of all events."""
     return schemas.schema_violations(event_records(table(spark, sf_dir, "events")), ["event_id"], "record", EVENT_SCHEMA, {"common": USER_SCHEMA})
+
+
+@query("""
+WITH e AS (SELECT conv_id, 1 AS s, 2 AS e FROM conversations GROUP BY conv_id),
+  w AS (SELECT e.conv_id, turn, role, text, false AS is_ahead FROM e JOIN conversations c ON c.conv_id = e.conv_id AND turn BETWEEN s AND e
+        UNION ALL SELECT conv_id, min(turn), 'user', arg_min(text, turn), true FROM e JOIN conversations c USING (conv_id) WHERE turn > e AND role = 'user' AND trim(text) <> '' GROUP BY conv_id)
+SELECT conv_id, turn, role, sha256(text) AS text_sha256, is_ahead FROM w
+""")
+def indexed_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as raw JSON lines with an index of byte offsets; of each, turns 1 to 2 and the next user turn behind them, read by seek."""
+    rows = table(spark, sf_dir, "conversations")
+    folder = f"{byte_lines.shared_folder(spark)}/sessiongrain/raw-{uuid.uuid4().hex[:12]}"
+    rows.select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value")).write.text(f"{folder}/lines")
+    lines = byte_lines.read_byte_lines(spark, f"{folder}/lines", suffix=".txt")
+    record = F.try_parse_json("value")
+    at = lambda name, kind: F.try_variant_get(record, f"$.{name}", kind)
+    byte_lines.write_index(lines, f"{folder}/index", conv_id=at("conv_id", "long"), turn=at("turn", "long"), real_user=(at("role", "string") == "user") & (F.trim(at("text", "string")) != ""))
+    index = byte_lines.read_index(spark, f"{folder}/index")
+    episodes = rows.select("conv_id").distinct().select("conv_id", F.lit(1).alias("start"), F.lit(2).alias("end"))
+    got = byte_lines.fetch_lines(byte_lines.episode_lines(index, episodes, "conv_id", "turn", "real_user").select("conv_id", "turn", "is_ahead", "file", "size", "offset", "length"))
+    return got.select("conv_id", "turn", at("role", "string").alias("role"), F.sha2(at("text", "string"), 256).alias("text_sha256"), "is_ahead")

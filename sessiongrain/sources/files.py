@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sessiongrain.sources import byte_lines
+
 MEMBER = "raw_trace_events.jsonl"
 
 
@@ -39,18 +41,12 @@ def split_rejects(rows: DataFrame, limit: int = 10_000) -> tuple[DataFrame, Data
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, value) with line numbers from 1 in each file; files are read whole, one task each, many in parallel."""
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for name, content in zip(pdf["path"], pdf["content"], strict=True):
-                values = bytes(content).decode("utf-8-sig").split("\n")
-                for a in range(0, len(values), 10_000):
-                    part = values[a : a + 10_000]
-                    out = pd.DataFrame({"file": name, "line": range(a + 1, a + len(part) + 1), "value": part})
-                    yield out[out["value"].str.strip() != ""]
-
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInPandas(lines, "file string, line long, value string")
+    """(file, line, value) of the non-blank lines, with line numbers from 1 in each file; blank lines count. Files are read in ranges of bytes."""
+    lines = byte_lines.read_byte_lines(spark, path)
+    ranges = lines.groupBy("file", "range").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("file", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return lines.where(F.trim("value") != "").join(ranges, ["file", "range"]).select("file", (F.col("before") + F.col("place") + 1).alias("line"), "value")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
