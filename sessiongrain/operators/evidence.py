@@ -110,29 +110,29 @@ def keyword_hits(rows: DataFrame, patterns: list[tuple[str, str]], id_col: str,
 
 
 def excerpts(text: Column, terms: tuple[str, ...] = RETRIEVAL_TERMS, most: int = 6, width: int = 220) -> Column:
-    """Up to `most` excerpts of `width` characters around terms, none overlapping; a greedy choice, so an Arrow function."""
-
-    @F.pandas_udf("array<string>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _excerpts(t or "", terms, most, width))
-
-    return run(text)
-
-
-def _excerpts(text: str, terms: tuple[str, ...], most: int, width: int) -> list[str]:
-    low, taken, out = text.lower(), [], []
-    for term in terms:
-        at = low.find(term)
-        while at >= 0 and len(out) < most:
-            a = max(0, at - width // 2)
-            b = min(len(text), a + width)
-            if all(b <= x or a >= y for x, y in taken):
-                piece = " ".join(text[a:b].split())
-                if piece:
-                    taken.append((a, b))
-                    out.append(piece)
-            at = low.find(term, at + len(term))
-    return out
+    """Up to `most` excerpts of `width` characters around occurrences of terms, none overlapping: terms in their order, then places.
+
+    What stands between the occurrences of a term gives their places, so one fold over these pieces sees
+    each window once and keeps those that meet none before; letters match in either case. Null gives none.
+    """
+    taken_type = "array<struct<from:int,to:int>>"
+
+    def around(found: Column, term: Column) -> Column:
+        pieces = F.split(text, F.concat(F.lit("(?iu)\\Q"), term, F.lit("\\E")))
+
+        def step(state: Column, piece: Column) -> Column:
+            here = state["at"] + F.length(piece)
+            start = F.greatest(here - width // 2, F.lit(0))
+            window = F.struct(start.alias("from"), F.least(start + width, F.length(text)).alias("to"))
+            free = (F.size(state["taken"]) < most) & ~F.exists(state["taken"], lambda t: (t["from"] < window["to"]) & (window["from"] < t["to"]))
+            return F.struct((here + F.length(term)).alias("at"), F.when(free, F.concat(state["taken"], F.array(window))).otherwise(state["taken"]).alias("taken"))
+
+        inner = F.slice(pieces, 1, F.size(pieces) - 1)
+        return F.aggregate(inner, F.struct(F.lit(0).alias("at"), found.alias("taken")), step)["taken"]
+
+    windows = F.aggregate(F.array(*map(F.lit, terms)), F.array().cast(taken_type), around)
+    shown = lambda w: F.trim(F.regexp_replace(F.substr(text, w["from"] + 1, w["to"] - w["from"]), r"(?U)\s+", " "))
+    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.transform(windows, shown))
 
 
 def chunk_recall(expected: DataFrame, selected: DataFrame, key: str, item: str) -> DataFrame:

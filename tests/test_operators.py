@@ -3,6 +3,7 @@
 import json
 import math
 import random
+import re
 import zipfile
 
 import pytest
@@ -86,10 +87,25 @@ def test_packing_is_greedy(spark):
             assert got[k, i] == b
 
 
-def test_excerpts_do_not_overlap():
-    text = "x" * 300 + " error here " + "y" * 50 + " failed there " + "z" * 500 + " timeout "
-    out = evidence._excerpts(text, evidence.RETRIEVAL_TERMS, 6, 220)
-    assert len(out) == 2 and "error" in out[0]
+def test_excerpts_equal_one_by_one(spark):
+    rnd = random.Random(3)
+    terms = ("error", "fail", "错误", "ab")
+    texts = ["x" * 300 + " Error here " + "y" * 50 + " failed there " + "z" * 500 + " fail ", "", None, "abab" * 30, "error", "\n\terror \n  x" * 9]
+    texts += ["".join(rnd.choice(["ERROR", "fail", "错误", "é ", "\n", "ab", "q" * 40, "😀"]) for _ in range(rnd.randint(0, 60))) for _ in range(30)]
+
+    def brute(text):
+        windows = []
+        for term in terms:
+            for m in re.finditer(re.escape(term), text or "", re.I):
+                low = max(m.start() - 30, 0)
+                high = min(low + 60, len(text))
+                if len(windows) < 4 and not any(x < high and low < y for x, y in windows):
+                    windows.append((low, high))
+        return [" ".join(text[x:y].split()) for x, y in windows]
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = dict(tuple(r) for r in df.select("id", evidence.excerpts(F.col("text"), terms, 4, 60)).collect())
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
 
 
 def test_quotes(spark):
@@ -270,6 +286,48 @@ def test_proxy_adapter(spark):
     assert sum(r["type"] == "error" for r in out) == 1 and len({r["turn_id"] for r in out if r["turn_id"]}) == 2
 
 
+def test_snapshot_starts_of_any_session(spark):
+    rnd = random.Random(6)
+    message = lambda: {"role": "user", "content": rnd.choice("abc")}
+    sessions, now = [], []
+    for k in range(60):
+        if k % 20 == 0:
+            now = []
+        now = [*now[rnd.choice([0, 0, 1, len(now)]) :], *[message() for _ in range(rnd.randint(0, 3))]]
+        sessions.append((f"s{k // 20}", k % 20 + 1, [json.dumps(m) for m in now]))
+    got = {(r.session_id, r.place): r.start for r in adapters.snapshot_starts(spark.createDataFrame(sessions, "session_id string, place int, messages array<string>")).collect()}
+    marks = {(s, p): [adapters.fingerprint(json.loads(m)) for m in ms] for s, p, ms in sessions}
+    assert got == {(s, p): adapters.first_new(marks[s, p - 1], m) if p > 1 else 0 for (s, p), m in marks.items()}
+
+
+def test_proxy_events_in_order(spark):
+    head = {"request_metadata": {"headers": {"x-session-id": "s"}}, "timestamp": "t"}
+    upload = "look The user just uploaded\n- a: local path /a"
+    first = [{"role": "system", "content": None}, {"role": "user", "content": upload}, "stray", {"role": "user", "content": ["bare", {"type": "image", "source": "z"}]}]
+    reply = {"role": "assistant", "content": [{"type": "thinking", "thinking": "hm"}, {"type": "text", "text": " done "}]}
+    used = {"role": "assistant", "content": [{"type": "text", "text": "call"}, {"type": "tool_use", "id": "c1", "name": "run", "input": {"x": [1]}}]}
+    result = {"role": "user", "content": [{"type": "text", "text": "with result"}, {"type": "tool_result", "tool_use_id": "c1", "content": [{"k": 1}], "is_error": False}]}
+    snaps = [
+        {**head, "id": "1", "model": "m", "messages": first, "response": "done", "reasoning": "hm"},
+        {**head, "id": "2", "messages": [*first, reply, used, result, {"role": "user", "content": "[system] note"}], "tool_calls": [{"call_id": "c2", "tool_name": "go", "arguments": "{}"}, 5], "error": {"code": 1}, "status_code": 500},
+        {**head, "messages": [{"role": "user", "content": "next"}]},
+    ]
+    out = adapters.normalise(records(spark, [{"content": json.dumps(x)} for x in snaps]), "b").orderBy("sequence").collect()
+    assert [r["sequence"] for r in out] == list(range(1, len(out) + 1)) and len({r["event_id"] for r in out}) == len(out)
+    seen = [(r["type"], {k: v for k, v in json.loads(r["data"]).items() if k not in ("request_id", "model", "provider")}) for r in out]
+    assert seen == [
+        ("system_event", {"kind": "request_snapshot"}), ("assistant_message", {}), ("user_message", {"content": "look"}), ("system_event", {"kind": "uploaded_files", "content": upload[5:]}),
+        ("user_message", {"content": "bare"}), ("unknown", {"content_block": {"type": "image", "source": "z"}}), ("model_call", {}), ("reasoning", {"content": "hm"}), ("model_result", {}), ("assistant_message", {"content": "done"}),
+        ("system_event", {"kind": "request_snapshot"}), ("assistant_message", {"content": "call"}), ("tool_call", {"call_id": "c1", "tool_name": "run", "arguments": {"x": [1]}}),
+        ("user_message", {"content": "with result"}), ("tool_result", {"call_id": "c1", "content": [{"k": 1}], "is_error": False}), ("system_event", {"content": "[system] note"}),
+        ("model_call", {}), ("tool_call", {"call_id": "c2", "tool_name": "go", "arguments": "{}"}), ("error", {"error": {"code": 1}, "status_code": 500}),
+        ("system_event", {"kind": "request_snapshot"}), ("user_message", {"content": "next"}), ("model_call", {}),
+    ]
+    turns = [r["turn_id"] for r in out]
+    assert turns[0] is None and turns[1] is None and len(set(turns[2:4])) == 1 and len(set(turns[4:20])) == 1 and len(set(turns[20:])) == 1 and len(set(turns)) == 4
+    assert json.loads(out[6]["data"])["model"] == "m" and {r["timestamp"] for r in out} == {"t"}
+
+
 def test_snapshot_alignment():
     assert adapters.first_new(["a", "b"], ["a", "b", "c"]) == 2
     assert adapters.first_new(["a", "b", "c"], ["b", "c", "d"]) == 2
