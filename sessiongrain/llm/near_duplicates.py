@@ -33,8 +33,10 @@ RADIUS = 24
 #: Bands of minhashes: at the least similarity 1 - (1 - 0.8**5)**20 = 0.9996 of pairs share one.
 BANDS = 20
 BAND_ROWS = 5
-#: Nodes of a large cell that its strays are compared with in every round but the first, which takes one.
-HUBS = 8
+#: Nodes of a large cell that all others are compared with first, and that its strays are compared with next.
+HUB_ROUNDS = (1, 8)
+#: Parts of the hash space in which shingles are counted: two sets share at most the sum of the lesser counts.
+BUCKETS = 128
 
 
 def _rotl(x: np.ndarray, r: int) -> np.ndarray:
@@ -329,66 +331,98 @@ def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
 
 
 def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(node, shingles) of a table with node and text: the sets of shingle hashes."""
+    """(node, shingles, buckets) of a table with node and text: the sets of shingle hashes, and how many of them lie in each part of the hash space."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, count = _hashes(*text_buffers(batch.column(1)), shingle)
-            sets = [np.unique(h) for h in np.split(hashes.view(np.int64), np.cumsum(count)[:-1])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+            sets = [np.unique(h) for h in np.split(hashes, np.cumsum(count)[:-1])]
+            parts = [np.bincount((h >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64), minlength=BUCKETS).astype(np.int32) for h in sets]
+            columns = [batch.column(0), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "buckets"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>, buckets array<int>")
 
 
 def similar_roots(numbered: DataFrame, nodes: DataFrame, shingle: int, similarity: float, bits: int, text_col: str = "text") -> DataFrame:
     """(node, root) of the nodes linked to others: sets of shingles with a Jaccard similarity of `similarity` or more.
 
     numbered: the texts with ROW columns; nodes: (node, n, fp, pivots, mins, and ROW columns of a row with the text).
-    Candidates share a cell: equal minhashes in one of BANDS bands. Cells up to PAIR_CELL are compared pair by pair, larger
-    ones with some of their nodes (hubs), drawn by hash. Nodes that are in one class by then need no further comparison: a large
-    cell with several classes goes on, its rows split by more minhashes, twice as many each round, and where all are equal
-    it is compared pair by pair between classes. Candidates must have sizes that allow the similarity and
-    pass the pivot table at `bits` bits; they are then verified on the whole sets, which are built once.
+    Candidates share a cell: equal minhashes in one of BANDS bands. Cells up to PAIR_CELL are compared pair by pair. In larger
+    ones all nodes are first compared with one node (hub), then those of several classes with a few hubs: nodes in one
+    class need no further comparison. What is left are strays, the nodes outside a cell's largest class; they
+    are compared with all of the cell (see _stray_links), so every pair that shares a cell and is in
+    two classes has been decided, at any size. Candidates of pairs and hubs must have sizes that allow the similarity and
+    pass the pivot table at `bits` bits; all are verified on the whole sets, which are built once.
     """
-    total = BANDS * BAND_ROWS
     band = [F.xxhash64(F.lit(k), *[F.get("mins", k * BAND_ROWS + j) for j in range(BAND_ROWS)]) for k in range(BANDS)]
     facts = nodes.select("node", F.struct("node", "n", "fp", "pivots").alias("x"))
     rows = nodes.where("n > 0").select("node", F.posexplode(F.array(*band)).alias("band", "cell"))
     roots = sets = None
-    width, more = BAND_ROWS, 2
-    while True:
-        named = rows.withColumn("root", F.col("node")) if roots is None else rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # Once classes are known only strays meet a cell's hubs, so it can have more of them.
-        hubs = [F.min_by(F.struct("node", "root"), F.xxhash64(F.lit(k), "cell", "node")) for k in range(1 if roots is None else HUBS)]
+    for n_hubs in HUB_ROUNDS:
+        named = _named(rows, roots)
+        hubs = [F.min_by(F.struct("node", "root"), F.xxhash64(F.lit(k), "cell", "node")) for k in range(n_hubs)]
         open_ = named.groupBy("cell").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.array(*hubs).alias("hubs"))
         shared = cut(named.join(open_.where("lo < hi").drop("lo", "hi"), "cell"), "bands")
-        crowded = (F.col("size") > PAIR_CELL) if width < total else F.lit(False)
-        left = shared.where(~crowded).select("cell", "root", "node").join(facts, "node").drop("node")
-        pairs = left.join(left.select("cell", F.col("x").alias("y"), F.col("root").alias("other")), "cell").where("root <> other and x.node < y.node").select("x", "y")
+        crowded = F.col("size") > PAIR_CELL
         stars = shared.where(crowded).select("node", F.explode(F.filter("hubs", lambda h: h["root"] != F.col("root"))).alias("hub"))
-        stars = stars.select("node", F.col("hub.node").alias("to")).distinct().join(facts, "node").join(facts.select(F.col("node").alias("to"), F.col("x").alias("y")), "to").select("x", "y")
-        both = pairs.unionByName(stars).where(F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")).where(_within("x", "y", bits))
-        ends = F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
-        found = cut(both.select(*ends).distinct(), "candidates")
+        both = stars.select("node", F.col("hub.node").alias("to")).distinct().join(facts, "node").join(facts.select(F.col("node").alias("to"), F.col("x").alias("y")), "to").select("x", "y")
+        if sets is None:
+            left = shared.where(~crowded).select("cell", "node").join(facts, "node").drop("node")
+            both = both.unionByName(left.join(left.select("cell", F.col("x").alias("y")), "cell").where("x.node < y.node").select("x", "y"))
+        both = both.where(F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")).where(_within("x", "y", bits))
+        found = cut(both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "candidates")
         if sets is None:
             wanted = found.select(F.explode(F.array("a", "b")).alias("node")).unionByName(shared.where(crowded).select("node")).distinct()
             texts = numbered.select(*ROW, F.col(text_col).alias("text")).join(nodes.join(wanted, "node", "left_semi").select(*ROW, "node"), ROW)
             sets = cut(_shingle_sets(texts, shingle), "shingles")
-        met = found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
-        common = F.size(F.array_intersect("s", "t"))
-        here = cut(met.where(common / (F.size("s") + F.size("t") - common) >= similarity).select("a", "b"), "links")
-        discard(found)
+        here = _verified(found, sets, similarity)
         roots = connected_components(here) if roots is None else _merged_roots(roots, here)
-        rest = shared.where(crowded)
-        if width >= total or rest.isEmpty():
-            discard(shared, sets)
+        rest = cut(shared.where(crowded).select("node", "band", "cell"), "crowded")
+        discard(found, shared)
+        rows = rest
+        if rest.isEmpty():
+            discard(rest, sets)
             return roots
-        # A band goes on with the minhashes behind its own, so that cells shrink until their sets agree in all of them.
-        following = [F.get("mins", F.pmod((F.col("band") + 1) * BAND_ROWS + k, F.lit(total))) for k in range(width - BAND_ROWS, min(width + more, total) - BAND_ROWS)]
-        rows = cut(rest.select("node", "band", "cell").join(nodes.select("node", "mins"), "node").select("node", "band", F.xxhash64("cell", *following).alias("cell")), "rest")
-        discard(shared)
-        width, more = min(width + more, total), more * 2
+    bands = nodes.select("node", F.array(*band).alias("bands"))
+    roots = _merged_roots(roots, _verified(_stray_links(rest, roots, sets, bands, similarity), sets, similarity))
+    discard(rest, sets)
+    return roots
+
+
+def _named(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return rows.withColumn("root", F.col("node"))
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _stray_links(rest: DataFrame, roots: DataFrame, sets: DataFrame, bands: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) candidates of cells with several classes: each node outside the cell's largest class against all nodes of other classes.
+
+    A pair is looked at in the first band that it shares and leaves the join only if it can be similar: two sets share at
+    most the sum of the lesser bucket counts, so no link is lost. Skewed cells are split by the join.
+    """
+    named = _named(rest, roots)
+    tally = named.groupBy("cell", "root").agg(F.count("*").alias("m")).groupBy("cell").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("k"))
+    facts = sets.select("node", F.size("shingles").alias("n"), "buckets").join(bands, "node")
+    members = cut(named.join(tally.where("k > 1"), "cell").join(facts, "node"), "strays")
+    x = members.where("root <> main").select("cell", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "buckets", "bands", "band")])
+    y = members.select("cell", *[F.col(c).alias(f"y_{c}") for c in ("node", "root", "n", "buckets", "bands", "main")])
+    once = (F.col("y_root") == F.col("y_main")) | (F.col("x_node") < F.col("y_node"))
+    sizes = F.least("x_n", "y_n") >= similarity * F.greatest("x_n", "y_n")
+    first = F.array_position(F.zip_with("x_bands", "y_bands", lambda p, q: p == q), True) == F.col("x_band") + 1
+    most = F.aggregate(F.zip_with("x_buckets", "y_buckets", F.least), F.lit(0), lambda total, c: total + c)
+    can = most >= similarity * (F.col("x_n") + F.col("y_n") - most)
+    pairs = x.join(y, (x["cell"] == y["cell"]) & (F.col("x_root") != F.col("y_root")) & once & sizes & first & can)
+    return cut(pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct(), "stray_pairs")
+
+
+def _verified(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar."""
+    met = found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
+    common = F.size(F.array_intersect("s", "t"))
+    return cut(met.where(common / (F.size("s") + F.size("t") - common) >= similarity).select("a", "b"), "links")
 
 
 def _merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:

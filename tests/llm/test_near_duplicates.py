@@ -151,3 +151,19 @@ def test_rows_not_ids_are_dropped(spark):
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (9, texts[3]), (2, texts[1])]
     kept = nd.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(None, texts[0]), (2, texts[1]), (4, texts[2]), (4, texts[3])], key=repr)
+
+
+def test_crowded_cells_lose_no_link(spark):
+    """400 near copies of one text, with as many edits as leave many of them just outside the others' reach: classes as by all pairs."""
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(150)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rnd.randint(0, 9)):
+            words[rnd.randrange(150)] = word()
+        rows.append((i, " ".join(words)))
+    want = survivors(rows)
+    kept = nd.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert sorted(r["doc_id"] for r in kept.collect()) == want and 20 < len(want) < 380
