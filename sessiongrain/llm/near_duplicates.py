@@ -412,7 +412,7 @@ def _stray_links(rest: DataFrame, roots: DataFrame, sets: DataFrame, bands: Data
     once = (F.col("y_root") == F.col("y_main")) | (F.col("x_node") < F.col("y_node"))
     sizes = F.least("x_n", "y_n") >= similarity * F.greatest("x_n", "y_n")
     first = F.array_position(F.zip_with("x_bands", "y_bands", lambda p, q: p == q), True) == F.col("x_band") + 1
-    most = F.aggregate(F.zip_with("x_buckets", "y_buckets", F.least), F.lit(0), lambda total, c: total + c)
+    most = F.aggregate(F.zip_with("x_buckets", "y_buckets", lambda p, q: F.least(p, q)), F.lit(0), lambda total, c: total + c)
     can = most >= similarity * (F.col("x_n") + F.col("y_n") - most)
     pairs = x.join(y, (x["cell"] == y["cell"]) & (F.col("x_root") != F.col("y_root")) & once & sizes & first & can)
     return cut(pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct(), "stray_pairs")
