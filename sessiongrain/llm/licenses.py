@@ -12,9 +12,22 @@ from pyspark.sql import functions as F
 
 from sessiongrain.llm.common import ROW, cut, read_table, with_row_id
 
-#: A line that names a holder and no terms, as it differs between copies of one licence: "copyright" or its sign begins the line, and a
-#: sign or a year is beside it, so neither a clause "c)" nor a wrapped sentence about "copyright notices" is one. Java and RE2 read it alike.
-COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright[^\p{L}\p{N}\n]*(\(c\)|©|[0-9]{4})|copyright by[^\n]*[0-9]{4}|(\(c\)|©)[^\p{L}\p{N}\n]*(copyright|[0-9]{4}))[^\n]*"
+#: Words of terms: a line with one of them says more than who holds the copyright, so it stays.
+TERM_WORDS = (
+    "may must shall will can is are be not stays passes remains belongs copies notice notices license licensed licence licenced licensee "
+    "holder holders owner owners law laws permission granted terms"
+).split()
+#: Forms of a line that names a holder and no terms, as it differs between copies of one licence: the word and a sign or a year beside it, "by" and
+#: a year, a sign and a year, or a name in capitals. A bare "(c)" needs a year, as clauses are numbered like that. Java and RE2 read them alike.
+HOLDER_FORMS = (
+    r"(?i:copyright)[^\p{L}\p{N}\n]*(\([cC]\)|©|[0-9]{4})",
+    r"(?i:copyright by)[^\n]*[0-9]{4}",
+    r"©[^\p{L}\p{N}\n]*((?i:copyright)|[0-9]{4})",
+    r"\([cC]\)[^\p{L}\p{N}\n]*((?i:copyright)[^\n]*)?[0-9]{4}",
+    r"(?i:copyright)[ \t]+(\p{Lu}[^\s]*|and|of|the|de|von|van|&)([ \t]+(\p{Lu}[^\s]*|and|of|the|de|von|van|&))*[ \t\r]*(\n|$)",
+)
+TERM = r"[^\p{L}\p{N}\n](?i:" + "|".join(TERM_WORDS) + r")([^\p{L}\p{N}]|$)"
+COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(?=(?i:copyright)|\([cC]\)|©)(?![^\n]*" + TERM + ")(?=" + "|".join(f"(?:{f})" for f in HOLDER_FORMS) + r")[^\n]*"
 #: The line that goes with it.
 RESERVED_LINE = r"(^|\n)[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*(\n|$)"
 NO_WORD = r"[^\p{L}\p{N}\n]+"
@@ -52,7 +65,7 @@ TEXTS = Path(__file__).parent / "license_texts"
 
 def folded(text: Column) -> Column:
     """Lower case, copyright lines out, runs of other characters than letters, digits and newlines one space, one spelling in each line."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "\n")
+    out = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "\n"))
     out = F.regexp_replace(F.regexp_replace(out, RESERVED_LINE, "\n"), NO_WORD, " ")
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
@@ -76,16 +89,39 @@ def canonical_text(text: str) -> str:
     """The same form in Python, for the fixed table and as the expectation of tests: written apart from the expressions above."""
     word = r"[^\W_]"
     kept = []
-    for line in text.lower().split("\n"):
-        start = re.match(rf"(?:(?!{word}|\(c\)|©).)*(.*)", line)[1]
-        sign = re.match(rf"copyright(?:(?!{word}|\(c\)|©).)*(?:\(c\)|©|[0-9]{{4}})|copyright by.*[0-9]{{4}}|(?:\(c\)|©)(?:(?!{word}).)*(?:copyright|[0-9]{{4}})", start)
-        only = " ".join(re.findall(rf"{word}+", line))
-        if not sign and only != "all rights reserved":
+    for line in text.split("\n"):
+        only = " ".join(re.findall(rf"{word}+", line.lower()))
+        if not _names_holder(line) and only != "all rights reserved":
             kept.append(only)
     spelled = [_spell(x, SPELLINGS) for x in kept]
     return _spell(" ".join(x for x in spelled if x), [p for p in SPELLINGS if " " in p[0]])
 
 
+def _names_holder(line: str) -> bool:
+    """Whether a line names a copyright holder and no terms, token by token."""
+    tokens = re.findall(r"\([cC]\)|©|[^\W_]+", line)
+    low = [t.lower() for t in tokens]
+    year = lambda t: re.match(r"[0-9]{4}", t) is not None
+    if not low or set(re.findall(r"[^\W_]+", line.lower())) & set(TERM_WORDS):
+        return False
+    begins = lambda t, w: t.startswith(w)
+    following = low[1] if len(low) > 1 else ""
+    some_year = re.search(r"[0-9]{4}", line) is not None
+    if low[0] == "(c)":
+        return year(following) or begins(following, "copyright") and some_year
+    if low[0] == "©":
+        return year(following) or begins(following, "copyright")
+    if not begins(low[0], "copyright"):
+        return False
+    if low[0] != "copyright":  # a year that stands at the word itself
+        return year(low[0][9:])
+    if following in ("(c)", "©") or year(following) or re.match(r"(?i)[^\w]*_*[^\w]*copyright by", line) and some_year:
+        return True
+    name = re.match(r"(?i:[\W_]*copyright)[ \t]+(.*?)[ \t\r]*$", line)
+    words = re.split(r"[ \t]+", name[1]) if name else [""]
+    return all(w in ("and", "of", "the", "de", "von", "van", "&") or w[:1].isupper() for w in words)
+
+
 def _spell(text: str, pairs) -> str:
     for a, b in pairs:
         text = text.replace(a, b)
@@ -134,13 +170,13 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     """Each line is judged and folded as a row of its own; known digests are those that Python computes."""
     known = ", ".join(f"('{d}', '{k}')" for d, k in known_digests().items())
-    begins = r"regexp_matches(line, '^[^\p{L}\p{N}]*(copyright[^\p{L}\p{N}]*(\(c\)|©|[0-9]{4})|copyright by.*[0-9]{4}|(\(c\)|©)[^\p{L}\p{N}]*(copyright|[0-9]{4}))')"
+    begins = "(" + " OR ".join(rf"regexp_matches(raw, '^[^\p{{L}}\p{{N}}]*({form})')" for form in HOLDER_FORMS) + f") AND NOT regexp_matches(raw, '{TERM}')"
     parted = [p for p in SPELLINGS if " " in p[0]]
     return rf"""
 WITH known(digest, license) AS (VALUES {known}), lines AS (
-  SELECT doc_id, unnest(string_split(lower(coalesce(text, '')), chr(10))) AS line, unnest(range(len(string_split(lower(coalesce(text, '')), chr(10))))) AS pos FROM documents
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents
 ), plain AS (
-  SELECT doc_id, pos, line, trim(regexp_replace(line, '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' ') AS words FROM lines WHERE NOT {begins}
+  SELECT doc_id, pos, trim(regexp_replace(lower(raw), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' ') AS words FROM lines WHERE NOT ({begins})
 ), spelled AS (
   SELECT doc_id, pos, {_nested("words", SPELLINGS)} AS words FROM plain WHERE words NOT IN ('', 'all rights reserved')
 ), whole AS (

@@ -99,6 +99,22 @@ def test_line_runs_equal_brute_force(spark, run_lines, run_words, line_words):
     assert line_runs.deduplicated(df.limit(0)).count() == 0
 
 
+def test_only_holders_are_left_out(spark):
+    """Clauses stay, holders go, and whole licences are found behind every form of holder."""
+    clauses = "(a) copies are free\n(b) no fee\n"
+    mit, bsd = ((licenses.TEXTS / f"{n}.txt").read_text() for n in ("MIT", "BSD-3-Clause"))
+    stay = [clauses + "(c) copyright stays with the author", clauses + "(c) copyright passes to the licensee", "(c) 2000 copies may be made", "Copyright Holder", "Copyright is reserved", "Copyright of this work", "(c) Copyright held by Jane"]
+    heads = ["Copyright Jane Doe", "copyright Jane Doe and The Élan Group", "Copyright (c) 2001 Y. All rights reserved.", "(c) 1999 X", "(c) Copyright 1999, X.", "© Copyright Z", "Copyright2020 W", "COPYRIGHT BY Q, 2011", "  * Copyright © Foo"]
+    wrapped = "\n".join(" ".join(bsd.split()[i : i + 9]) for i in range(0, len(bsd.split()), 9))
+    texts = stay + [f"{h}\n\n{mit}" for h in heads] + [f"{heads[0]}\n{wrapped}", heads[0]]
+    got = {r["doc_id"]: (r["digest"], r["license"]) for r in licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    plain = [hashlib.sha256(" ".join(re.findall(r"[^\W_]+", t.lower())).encode()).hexdigest() for t in stay]
+    assert [got[i][0] for i in range(len(stay))] == plain and len(set(plain)) == len(stay)
+    assert [got[len(stay) + i][1] for i in range(len(heads) + 1)] == ["MIT"] * len(heads) + ["BSD-3-Clause"]
+    assert got[len(texts) - 1][0] == hashlib.sha256(b"").hexdigest()
+    assert [hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest() for t in texts] == [got[i][0] for i in range(len(texts))]
+
+
 @pytest.mark.parametrize("name", ["op2_license_scan", "op6_line_run_dedup"])
 def test_sql_agrees(spark, sf_dir, name):
     from sessiongrain.llm.queries import QUERIES, SQL
