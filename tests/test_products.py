@@ -48,6 +48,56 @@ def test_back_off_opens_and_probes():
     assert caller.send("s", "u")[0] == {"ok": 1} and caller.waited[3:] == [180, 180, 180] and caller.failures == 0
 
 
+def test_a_dead_service_stops_all_requests_of_a_task():
+    """Forty requests: five failures open the circuit, then one probe every 180 seconds; each request has four tries."""
+    calls = []
+
+    def dead(system, user):
+        calls.append(sum(caller.waited))
+        raise client.Unavailable
+
+    caller = client.Caller([dead])
+    got = list(caller.answers("s", ((i, client.dialogue("u", lambda v: None)) for i in range(40))))
+    assert {k for k, _, _ in got} == set(range(40)) and all(r["error"] == "service unavailable" and w == 180 for _, r, w in got)
+    assert len(calls) == 160 and calls[:5] == [0] * 5 and all(b - a >= 180 for a, b in zip(calls[4:], calls[5:], strict=False))
+
+
+def test_a_service_that_recovers_answers_everything():
+    """While one client fails, requests wait their turn and others go on; the probe closes the circuit; clients take equal shares."""
+    served = [0, 0]
+
+    def away_until(k, end):
+        def judge(system, user):
+            if sum(caller.waited) < end:
+                raise client.Unavailable
+            served[k] += 1
+            return {"ok": k}, {}
+
+        return judge
+
+    caller = client.Caller([away_until(0, 100), away_until(1, 0)])
+    got = list(caller.answers("s", ((i, client.dialogue("u", lambda v: None)) for i in range(30))))
+    assert len(got) == 30 and all(r["error"] is None for _, r, _ in got) and max(w for _, _, w in got) <= 180
+    assert [k for k, _, _ in got][0] == 1 and served[1] > served[0] > 0
+    served[:] = [0, 0]
+    caller = client.Caller([away_until(0, 0), away_until(1, 0)])
+    assert len(list(caller.answers("s", ((i, client.dialogue("u", lambda v: None)) for i in range(30))))) == 30 and served == [15, 15]
+    caller = client.Caller([away_until(0, 100)])
+    got = list(caller.answers("s", ((i, client.dialogue("u", lambda v: None)) for i in range(30))))
+    assert all(r["error"] is None for _, r, _ in got) and caller.waited == [180] and sum(w > 0 for _, _, w in got) == 5
+
+
+def test_wrong_citations_are_told_their_passage(spark):
+    source = "the quick brown fox"
+
+    def judge(system, user):
+        return {"quote": "quick brown" if "closest passage: the quick brown" in user else "quick browm"}, {}
+
+    check = lambda v: None if v["quote"] in source else ("not in the source", v["quote"], source)
+    out = client.ask_rows(spark.createDataFrame([(i, "p") for i in range(5)], "id int, prompt string").coalesce(1), [judge, judge], "s", check, "id").collect()
+    assert [(r["answer"], r["attempts"]) for r in out] == [(json.dumps({"quote": "quick brown"}), 2)] * 5
+
+
 def test_feedback_keys_and_paths():
     assert "closest passage: the quick" in client.feedback("bad", "quick browm", "the quick brown fox") and client.feedback("bad") == "bad"
     assert client.repaired_keys({"atribution": 1, "x": 2}, ("attribution",)) == {"attribution": 1, "x": 2}
