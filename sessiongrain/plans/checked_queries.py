@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessiongrain.operators import schemas
-from sessiongrain.plans.queries import query, table
+from sessiongrain.operators import schemas, workspace
+from sessiongrain.plans.queries import TURNS_SQL, opened_turns, query, table
 from sessiongrain.sources import byte_lines
 
 #: What an event record must look like; `user` stands in a schema of its own.
@@ -86,3 +86,29 @@ def indexed_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     episodes = rows.select("conv_id").distinct().select("conv_id", F.lit(1).alias("start"), F.lit(2).alias("end"))
     got = byte_lines.fetch_lines(byte_lines.episode_lines(index, episodes, "conv_id", "turn", "real_user").select("conv_id", "turn", "is_ahead", "file", "size", "offset", "length"))
     return got.select("conv_id", "turn", at("role", "string").alias("role"), F.sha2(at("text", "string"), 256).alias("text_sha256"), "is_ahead")
+
+
+@query(TURNS_SQL + """
+SELECT user_id::VARCHAR AS trace_id, count(DISTINCT turn_id) AS n_turns, count(turn_id) AS n_turn_events, count(*) - count(turn_id) AS n_unassigned, count(*) AS n_sources,
+  count(*) FILTER (turn_id IS NOT NULL AND event_type = 'error') AS n_errors, min(event_id) FILTER (turn_id IS NOT NULL) AS first_event
+FROM (SELECT t.*, e.event_type FROM t JOIN events e USING (event_id)) GROUP BY user_id
+""")
+def workspace_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as a batch of products, written, checked and committed; what its turns and traces say of each trace, read back."""
+    turned = opened_turns(table(spark, sf_dir, "events")).select(
+        F.col("user_id").cast("string").alias("trace_id"), F.date_format("ts", "yyyy").alias("session_id"), F.col("turn_id").cast("string").alias("turn_id"), F.col("event_id").cast("string").alias("event_id"),
+        F.col("event_id").alias("sequence"), F.col("event_type").alias("type"), F.col("props").alias("data"), F.date_format("ts", "yyyy-MM-dd").alias("input_file"), F.col("event_id").alias("record_index"),
+    )
+    events = workspace.source_ref(turned)
+    turns = workspace.turn_product(events, "d", "b", {"n_errors": F.count_if(F.col("type") == "error")})
+    sources = turned.select(F.col("input_file").alias("file"), "record_index", F.col("data").alias("record"))
+    products = {"source_records": workspace.source_product(sources, "d", "b"), "lineage_edges": workspace.lineage_product(events, "d", "b"), "unified_turns": turns, "unified_traces": workspace.trace_product(events, turns, "d", "b")}
+    path = f"{byte_lines.shared_folder(spark)}/sessiongrain/batch-{uuid.uuid4().hex[:12]}"
+    n = turned.count()
+    workspace.materialise(spark, products, path, {"dataset_id": "d", "batch_id": "b"}, "events", lambda at: workspace.coverage_errors(spark, at, n))
+    read = spark.read.json(f"{path}/unified_turns")
+    of_turns = read.groupBy("trace_id").agg(F.sum(F.size("events")).alias("n_turn_events"), F.sum(F.when(F.col("part") == 0, F.col("execution_context.n_errors"))).alias("n_errors"), F.min(F.array_min("events.sequence")).alias("first_event"))
+    of_traces = spark.read.json(f"{path}/unified_traces").select("trace_id", F.explode("sessions").alias("s")).groupBy("trace_id").agg(F.sum(F.size("s.turn_refs")).alias("n_turns"), F.sum(F.size("s.unassigned_events")).alias("n_unassigned"))
+    edges = spark.read.json(f"{path}/lineage_edges").join(turned.select("event_id", "trace_id"), "event_id").groupBy("trace_id").agg(F.count_distinct("source_record_id").alias("n_sources"))
+    joined = of_traces.join(of_turns, "trace_id", "left").join(edges, "trace_id").na.fill(0, ["n_turn_events", "n_errors"])
+    return joined.select("trace_id", "n_turns", "n_turn_events", "n_unassigned", "n_sources", "n_errors", "first_event")
