@@ -49,6 +49,16 @@ def usage_total(usage: Column, fields: tuple[str, ...] = ("input_tokens", "outpu
     return F.when(parsed.isNotNull(), total)
 
 
+# The counts that a model's answer reports.
+USAGE = ("prompt_tokens", "completion_tokens", "total_tokens")
+
+
+def usage_sums(rows: DataFrame, usage: str, keys: list[str], fields: tuple[str, ...] = USAGE) -> DataFrame:
+    """Per key the sum of each reported count; what is missing or no whole number adds nothing, and stays null where no row reports it."""
+    parsed = rows.withColumn("__u", F.try_parse_json(usage))
+    return parsed.groupBy(*keys).agg(*[F.sum(F.try_variant_get("__u", f"$.{f}", "long")).alias(f) for f in fields])
+
+
 def event_text(data: Column) -> Column:
     """Readable text of an event's JSON: the tool's name and arguments, else the content, else the message, else nothing."""
     parsed = F.try_parse_json(data)
@@ -58,8 +68,11 @@ def event_text(data: Column) -> Column:
 
 
 def source_locations(rows: DataFrame, file: str, turn: str, line: str, record: str) -> DataFrame:
-    """(file, turn) -> the line and record where the turn first stands."""
-    return rows.groupBy(file, turn).agg(F.min(F.struct(line, record)).alias("__first")).select(file, turn, f"__first.{line}", f"__first.{record}")
+    """(file, turn) -> the line and record where the turn stands; a turn that stands in a file twice raises."""
+    found = rows.groupBy(file, turn).agg(F.min(F.struct(line, record)).alias("__at"), F.count("*").alias("__n"))
+    twice = F.raise_error(F.concat_ws(" ", F.lit("duplicate source turn"), F.col(file).cast("string"), F.col(turn).cast("string")))
+    checked = F.when(F.col("__n") == 1, F.col("__at")).otherwise(twice.cast(rows.select(F.struct(line, record).alias("x")).schema["x"].dataType))
+    return found.select(file, turn, checked.alias("__at")).select(file, turn, f"__at.{line}", f"__at.{record}")
 
 
 def interruptions_within(cases: DataFrame, interruptions: DataFrame, key: str, position: str, start: str = "start", end: str = "end") -> DataFrame:
@@ -70,7 +83,7 @@ def interruptions_within(cases: DataFrame, interruptions: DataFrame, key: str, p
 
 def first_records(rows: DataFrame, order: list[str], limit: int) -> DataFrame:
     """The first `limit` records over all sources in order; a negative limit takes all."""
-    return rows if limit < 0 else rollups.global_position(rows, order).where(F.col("position") < limit).drop("position")
+    return rows if limit < 0 else rows.orderBy(*order).limit(limit)
 
 
 def line_index(lines: DataFrame, file: str = "file", line: str = "line_number", text: str = "line") -> DataFrame:

@@ -104,6 +104,23 @@ def spread_sample(rows: DataFrame, order: str, k: int) -> DataFrame:
     return placed.where(F.col("position").isin(wanted)).drop("position")
 
 
+def spread_places(n: int, k: int) -> list[int]:
+    """k even places of n, both ends included: all if there are no more, the upper middle for one."""
+    if k >= n:
+        return list(range(n))
+    if k <= 1:
+        return [n // 2] if k == 1 else []
+    return sorted({round(i * (n - 1) / (k - 1)) for i in range(k)})
+
+
+def spread_by(rows: DataFrame, order: list[str], k: int) -> DataFrame:
+    """k rows at even places of the order (see spread_places). A sampling operator; only k places reach the plan."""
+    n = rows.count()
+    if k >= n:
+        return rows
+    return global_position(rows, order).where(F.col("position").isin(spread_places(n, k))).drop("position")
+
+
 def global_position(rows: DataFrame, order: list[str]) -> DataFrame:
     """rows with their place, from 0, in the total order: ranges are sorted in parallel, their sizes summed before them."""
     ranged = rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())

@@ -60,11 +60,20 @@ def matching(rows: DataFrame, audits: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(audits.select(*keys).distinct(), keys, "left_semi")
 
 
-def balanced_sample(rows: DataFrame, positive: Column, order: str, size: int) -> DataFrame:
-    """`size` rows: up to half from either side, in order, and the rest from whatever is left. A sampling operator."""
+def balanced_sample(rows: DataFrame, positive: Column, id_col: str, size_col: str, size: int) -> DataFrame:
+    """`size` rows, smallest first: half from either side, each spread evenly over its order of (size_col, id_col); an odd one is
+    positive, and what one side lacks is spread over the rest. Null sides count as negative. A sampling operator.
+    """
     side = rows.withColumn("__p", F.coalesce(positive, F.lit(False)))
-    ranked = side.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(order)))
-    return ranked.orderBy((F.col("__r") > size // 2).cast("int"), order).limit(size).drop("__p", "__r")
+    n = {r["__p"]: r["n"] for r in side.groupBy("__p").agg(F.count("*").alias("n")).collect()}  # two rows
+    k = min(n.get(True, 0), (size + 1) // 2)
+    quota = {True: k, False: min(n.get(False, 0), size - k)}
+    order = [size_col, id_col]
+    chosen = rollups.spread_by(side.where("__p"), order, quota[True]).unionByName(rollups.spread_by(side.where("NOT __p"), order, quota[False]))
+    short = size - sum(quota.values())
+    if short > 0:
+        chosen = chosen.unionByName(rollups.spread_by(side.join(chosen.select(id_col), id_col, "left_anti"), order, short).select(chosen.columns))
+    return chosen.drop("__p").orderBy(*order)
 
 
 def fixed_examples(rows: DataFrame, kind: Column, order: str, n: int = 3) -> DataFrame:
@@ -118,11 +127,16 @@ def compression_draft(rows: DataFrame, parent: str, child: str, case: str, least
     return out.withColumn("net_reduction", F.greatest(F.col("n_rare") - 1, F.lit(0)))
 
 
+# A setting in capitals with a number of three digits or more, and such a number in a user's words.
+SETTING = r"\b([A-Z][A-Z0-9_]{2,})\s*=\s*[\"']?(\d{3,})(?![A-Za-z0-9_])"
+STATED = r"(?<![A-Za-z0-9_])(\d{3,})(?![A-Za-z0-9_])"
+
+
 def stated_settings(said: DataFrame, done: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, name, value): settings NAME=ddd of `done` whose number of three or more digits stands in `said` of the same key."""
-    pairs = lambda i: F.regexp_extract_all(text, F.lit(r"([A-Za-z_][A-Za-z0-9_]*)\s*[=:]\s*\"?([0-9]{3,})\b"), F.lit(i))
+    """(key, name, value): settings NAME=ddd of `done` (tool results) whose number stands in `said` (user messages) of the same key."""
+    pairs = lambda i: F.regexp_extract_all(text, F.lit(SETTING), F.lit(i))
     settings = done.select(key, F.explode(F.arrays_zip(pairs(1).alias("name"), pairs(2).alias("value"))).alias("s")).select(key, "s.name", "s.value").distinct()
-    stated = said.select(key, F.explode(F.regexp_extract_all(text, F.lit(r"\b([0-9]{3,})\b"), F.lit(1))).alias("value")).distinct()
+    stated = said.select(key, F.explode(F.regexp_extract_all(text, F.lit(STATED), F.lit(1))).alias("value")).distinct()
     return settings.join(stated, [key, "value"], "left_semi").select(key, "name", "value")
 
 

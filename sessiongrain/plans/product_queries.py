@@ -54,10 +54,22 @@ def usage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", products.usage_total(F.col("props"), ("k", "output_tokens")).alias("tokens"))
 
 
-@query("SELECT event_type, day, min(event_id) AS line, arg_min(user_id, event_id) AS record FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events) GROUP BY ALL")
+@query("SELECT event_type, event_id, event_id + 1 AS line, user_id AS record FROM events")
 def source_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").alias("line"), F.col("user_id").alias("record"))
-    return products.source_locations(e, "event_type", "day", "line", "record")
+    e = table(spark, sf_dir, "events").select("event_type", "event_id", (F.col("event_id") + 1).alias("line"), F.col("user_id").alias("record"))
+    return products.source_locations(e, "event_type", "event_id", "line", "record")
+
+
+@query("""
+SELECT user_id, sum(CAST(props->>'$.k' AS BIGINT))::BIGINT AS prompt_tokens, sum(CAST(floor(value) AS BIGINT)) FILTER (value >= 5)::BIGINT AS completion_tokens,
+  sum(CAST(props->>'$.k' AS BIGINT)) FILTER (event_type <> 'error')::BIGINT AS total_tokens FROM events GROUP BY user_id
+""")
+def usage_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reported counts per user, of which some events lack one and some report no number."""
+    k = F.get_json_object("props", "$.k")
+    total = F.when(F.col("event_type") == "error", "unknown").otherwise(k)
+    e = table(spark, sf_dir, "events").withColumn("usage", F.to_json(F.struct(k.cast("long").alias("prompt_tokens"), F.when(F.col("value") >= 5, F.floor("value")).alias("completion_tokens"), total.alias("total_tokens"))))
+    return products.usage_sums(e, "usage", ["user_id"])
 
 
 @query("""
@@ -156,10 +168,14 @@ def audit_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, toxic FROM (SELECT *, row_number() OVER (PARTITION BY toxic = 1 ORDER BY doc_id) AS r FROM labels) ORDER BY CASE WHEN r > 30 THEN 1 ELSE 0 END, doc_id LIMIT 60
+WITH c AS (SELECT doc_id, toxic, n_chars, coalesce(toxic = 1, false) AS p FROM labels JOIN documents USING (doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY n_chars, doc_id) - 1 AS pos, count(*) OVER (PARTITION BY p) AS n, least(count(*) FILTER (p) OVER (), 30) AS kp FROM c),
+q AS (SELECT *, CASE WHEN p THEN kp ELSE least(n, 60 - kp) END AS k FROM r)
+SELECT doc_id, toxic, n_chars FROM q WHERE k >= n OR (k = 1 AND pos = n // 2) OR (k > 1 AND list_contains(list_transform(range(k), lambda i: CAST(round_even(i * (n - 1) / (k - 1)::DOUBLE, 0) AS BIGINT)), pos))
 """)
 def balanced_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selections.balanced_sample(table(spark, sf_dir, "labels"), F.col("toxic") == 1, "doc_id", 60).select("doc_id", "toxic")
+    rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
+    return selections.balanced_sample(rows, F.col("toxic") == 1, "doc_id", "n_chars", 60).select("doc_id", "toxic", "n_chars")
 
 
 @query("""
@@ -243,13 +259,13 @@ def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH done AS (SELECT DISTINCT o_custkey, o_orderstatus AS name, CAST(floor(o_totalprice / 100) AS BIGINT)::VARCHAR AS value FROM orders WHERE o_totalprice >= 10000),
+WITH done AS (SELECT DISTINCT o_custkey, 'STATUS_' || o_orderstatus AS name, CAST(floor(o_totalprice / 100) AS BIGINT)::VARCHAR AS value FROM orders WHERE o_totalprice >= 10000),
 said AS (SELECT DISTINCT o_custkey, CAST(floor(o_totalprice / 100) AS BIGINT)::VARCHAR AS value FROM orders WHERE o_orderpriority = '5-LOW')
 SELECT o_custkey, name, value FROM done SEMI JOIN said USING (o_custkey, value)
 """)
 def stated_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").withColumn("v", F.floor(F.col("o_totalprice") / 100).cast("string"))
-    done = o.where("o_totalprice >= 10000").select("o_custkey", F.concat(F.lit("set "), "o_orderstatus", F.lit(" = \""), "v", F.lit("\"")).alias("text"))
+    done = o.where("o_totalprice >= 10000").select("o_custkey", F.concat(F.lit("set STATUS_"), "o_orderstatus", F.lit(" = \""), "v", F.lit("\" and status="), "v").alias("text"))
     said = o.where("o_orderpriority = '5-LOW'").select("o_custkey", F.concat(F.lit("please use "), "v", F.lit(" here")).alias("text"))
     return selections.stated_settings(said, done, "o_custkey", "text")
 

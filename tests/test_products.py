@@ -112,6 +112,29 @@ def test_feedback_keys_and_paths():
     assert got["attempts"] == 3 and "no 2" in seen[2] and got["answer"] == {"v": 3}
 
 
+def test_balanced_sample_is_spread_and_filled(spark):
+    rows = spark.createDataFrame([(i, 100 - i, i < 3) for i in range(20)], "id int, size int, p boolean")
+    got = [(r["id"], r["p"]) for r in selections.balanced_sample(rows, F.col("p"), "id", "size", 8).collect()]
+    order = sorted(range(3, 20), key=lambda i: 100 - i)
+    assert got == [*[(order[round(k * 16 / 4)], False) for k in range(5)], (2, True), (1, True), (0, True)]
+    few = spark.createDataFrame([(i, i, i > 0) for i in range(9)], "id int, size int, p boolean")
+    got = [r["id"] for r in selections.balanced_sample(few, F.col("p"), "id", "size", 6).collect()]
+    assert len(set(got)) == 6 and got == sorted(got) and {0, 1, 8} <= set(got)
+
+
+def test_source_turns_stand_once(spark):
+    rows = spark.createDataFrame([("f", "t", 1, 0), ("g", "t", 2, 1)], "file string, turn string, line int, record int")
+    assert products.source_locations(rows, "file", "turn", "line", "record").count() == 2
+    with pytest.raises(Exception, match="duplicate source turn f t"):
+        products.source_locations(rows.union(rows.limit(1)), "file", "turn", "line", "record").collect()
+
+
+def test_settings_in_capitals_only(spark):
+    said = spark.createDataFrame([("k", "use 512 or x777 please, 900a")], "key string, text string")
+    done = spark.createDataFrame([("k", "MAX_LEN = '512' max_len=512 AB=512 LIMIT=777 SIZE: 512 TOP=5120 DEEP=512x")], "key string, text string")
+    assert [tuple(r) for r in selections.stated_settings(said, done, "key", "text").collect()] == [("k", "MAX_LEN", "512")]
+
+
 def test_settings_and_tables(spark, tmp_path):
     assert files.read_settings("# c\nexport A='1'\nB=2\nbad\nA=3", {"B": "own"}) == {"A": "1", "B": "own"}
     toml = '[providers.p]\nbase_url = "u"\nmodel = "m"\n'
