@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sessiongrain.operators import schemas, workspace
+from sessiongrain.plans import worklist
 from sessiongrain.plans.queries import TURNS_SQL, opened_turns, query, table
 from sessiongrain.sources import byte_lines
 
@@ -112,3 +115,29 @@ def workspace_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = spark.read.json(f"{path}/lineage_edges").join(turned.select("event_id", "trace_id"), "event_id").groupBy("trace_id").agg(F.count_distinct("source_record_id").alias("n_sources"))
     joined = of_traces.join(of_turns, "trace_id", "left").join(edges, "trace_id").na.fill(0, ["n_turn_events", "n_errors"])
     return joined.select("trace_id", "n_turns", "n_turn_events", "n_unassigned", "n_sources", "n_errors", "first_event")
+
+
+def _small_context(system: str, user: str) -> tuple[dict, dict]:
+    """A stand-in model with a small context: it takes 6,000 characters of texts at once and says how long each is."""
+    items = json.loads(user)
+    if sum(len(x["text"]) for x in items) > 6000:
+        raise ValueError("context limit")
+    return {"items": {x["id"]: len(x["text"]) for x in items}}, {}
+
+
+@query("""
+WITH RECURSIVE d AS (SELECT doc_id, length(text) AS n, lang || '/' || source AS s, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) - 1 AS r FROM documents),
+c AS (SELECT *, sum(n) OVER (PARTITION BY s ORDER BY r) AS upto FROM d),
+p AS (SELECT s, r // 8 AS k, min(r) AS lo, max(r) AS hi, 0 AS depth FROM d GROUP BY s, r // 8
+  UNION ALL
+  SELECT s, k, CASE WHEN side = 0 THEN lo ELSE lo + (hi - lo) // 2 + 1 END, CASE WHEN side = 0 THEN lo + (hi - lo) // 2 ELSE hi END, depth + 1
+  FROM (SELECT p.*, a.upto - b.upto + b.n AS total FROM p JOIN c a ON a.s = p.s AND a.r = p.hi JOIN c b ON b.s = p.s AND b.r = p.lo), (VALUES (0), (1)) AS sides(side) WHERE total > 6000 AND hi > lo AND depth < 3),
+last AS (SELECT s, r, max(depth) AS depth FROM d JOIN p USING (s) WHERE r BETWEEN lo AND hi GROUP BY s, r),
+whole AS (SELECT l.*, a.upto - b.upto + b.n AS total FROM last l JOIN p ON p.s = l.s AND p.depth = l.depth AND l.r BETWEEN p.lo AND p.hi JOIN c a ON a.s = p.s AND a.r = p.hi JOIN c b ON b.s = p.s AND b.r = p.lo)
+SELECT doc_id::VARCHAR AS id, w.depth::INTEGER AS depth, CASE WHEN total <= 6000 THEN n::VARCHAR END AS answer, CASE WHEN total > 6000 THEN 'ValueError: context limit' END AS error FROM whole w JOIN d USING (s, r)
+""")
+def subdivided_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in partitions of eight of one language and source, split while the model's context does not take them."""
+    place = F.row_number().over(Window.partitionBy("lang", "source").orderBy("doc_id")) - 1
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "lang", "source", F.floor(place / 8).cast("string")).alias("part"))
+    return worklist.subdivide(d, _small_context, "judge", "part", "doc_id", "doc_id", "text").select("id", "depth", "answer", "error")
