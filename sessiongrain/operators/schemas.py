@@ -36,11 +36,13 @@ def _key(name: Column) -> Column:
 
 def _type(v: Column) -> Column:
     """null, boolean, integer, number, string, array or object; a number without a fraction is an integer."""
-    kind = F.schema_of_variant(v)
-    number = kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)")
+    return _type_of(F.schema_of_variant(v), v)
+
+
+def _type_of(kind: Column, v: Column) -> Column:
     whole = F.try_variant_get(v, "$", "double")
-    named = F.when(kind == "VOID", "null").when(kind == "BOOLEAN", "boolean").when(kind == "STRING", "string")
-    return named.when(kind.startswith("ARRAY"), "array").when(kind.startswith("OBJECT"), "object").when(number & (whole == F.floor(whole)), "integer").when(number, "number")
+    simple = F.when(kind.startswith("OBJECT"), "object").when(kind == "STRING", "string").when(kind.startswith("ARRAY"), "array").when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null")
+    return simple.when(kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"), F.when(whole == F.floor(whole), "integer").otherwise("number"))
 
 
 def _same(v: Column, kind: Column) -> Column:
@@ -73,7 +75,7 @@ class Schemas:
     def _value(self, value: Column, path: Column, schema: dict | bool, root: dict, seen: tuple) -> Column:
         if isinstance(schema, bool):
             return _none() if schema else _when(F.lit(True), path, "false")
-        return let(F.struct(value.alias("v"), _type(value).alias("t"), path.alias("p")), lambda x: self._checked(x["v"], x["t"], x["p"], schema, root, seen))
+        return let(F.struct(value.alias("v"), F.schema_of_variant(value).alias("k"), path.alias("p")), lambda x: self._checked(x["v"], _type_of(x["k"], x["v"]), x["p"], schema, root, seen))
 
     def _checked(self, v: Column, t: Column, path: Column, schema: dict, root: dict, seen: tuple) -> Column:
         nested = {"$ref": self._ref, "properties": self._properties, "additionalProperties": self._additional, "patternProperties": self._pattern_properties, "items": self._items, "prefixItems": self._prefix_items}
