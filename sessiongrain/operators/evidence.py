@@ -1,10 +1,7 @@
-"""Evidence: chunks, previews, packing, exact quotes, keyword recall, snippets, coverage."""
+"""Evidence: chunks, previews, exact quotes, keyword recall, snippets, coverage."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,7 +10,6 @@ from sessiongrain.functions.scalars import chunk_id, preview
 
 EXTERNAL_CHARS = 2_000
 CHUNK_CHARS = 12_000
-PROMPT_CHARS = 50_000
 BUDGET = 24
 
 # What makes a tool result strong evidence.
@@ -62,31 +58,6 @@ def strong_evidence(chunk_rows: DataFrame, id_col: str, per_event: int = 3) -> D
     return hit.withColumn("rank", F.row_number().over(Window.partitionBy(id_col).orderBy("chunk"))).where(F.col("rank") <= per_event).drop("rank")
 
 
-def pack(rows: DataFrame, key: str, order: str, size: str, limit: int = PROMPT_CHARS) -> DataFrame:
-    """rows with `bin`: items in order, a new bin where the running size would exceed the limit; a larger item has one of its own.
-
-    The sum starts anew with each bin, so each key's items (sizes, not texts) are walked once in order, in
-    batches that carry the open bin over.
-    """
-    schema = f"{key} {rows.schema[key].dataType.simpleString()}, {order} {rows.schema[order].dataType.simpleString()}, bin int"
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held, now = object(), 0, 0
-        for pdf in batches:
-            out = []
-            for k, n in zip(pdf[key], pdf["__size"], strict=True):
-                if k != at:
-                    at, held, now = k, 0, 0
-                if held and held + n > limit:
-                    now, held = now + 1, 0
-                held += n
-                out.append(now)
-            yield pd.DataFrame({key: pdf[key], order: pdf[order], "bin": out})
-
-    ordered = rows.select(key, order, F.col(size).alias("__size")).repartition(key).sortWithinPartitions(key, order)
-    return rows.join(ordered.mapInPandas(walk, schema), [key, order])
-
-
 def partition_budget(parts: Column, budget: int = BUDGET) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.lit(budget) / parts))
 

@@ -74,19 +74,6 @@ def test_coverage_against_loops(spark):
     assert {r["pos"]: r["times"] for r in df.collect()} == {p: sum(a <= p <= b for _, a, b in ranges) for p in range(25)}
 
 
-def test_packing_is_greedy(spark):
-    rnd = random.Random(2)
-    rows = [(k, i, rnd.randint(1, 60)) for k in "ab" for i in range(200)]
-    got = {(r["k"], r["i"]): r["bin"] for r in evidence.pack(spark.createDataFrame(rows, "k string, i int, n int"), "k", "i", "n", 100).collect()}
-    for k in "ab":
-        b = held = 0
-        for _, i, n in [r for r in rows if r[0] == k]:
-            if held and held + n > 100:
-                b, held = b + 1, 0
-            held += n
-            assert got[k, i] == b
-
-
 def test_excerpts_equal_one_by_one(spark):
     rnd = random.Random(3)
     terms = ("error", "fail", "错误", "ab")
