@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from typing import NamedTuple
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sessiongrain.sources.byte_lines import shared_folder
+from sessiongrain.sources.cuts import cuts
 
 PROMPT_CHARS = 50_000
 BLOCK_ROWS = 65_536
@@ -151,12 +150,7 @@ def pack(rows: DataFrame, key: str, order: str, size: str, limit: int = PROMPT_C
     walked as they stand after sorting by size. An empty table gives none.
     """
     spark = rows.sparkSession
-    folder = f"{shared_folder(spark)}/sessiongrain/packing-{uuid.uuid4().hex[:12]}"
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
+    kept = cuts(spark, "packing")
     number = F.coalesce(F.col(size).cast("long"), F.lit(0))
     checked = F.when(number >= 0, number).otherwise(F.raise_error(F.lit("negative size")).cast("long"))
     named = rows.withColumn("__name", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")))

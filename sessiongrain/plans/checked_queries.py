@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sessiongrain.operators import schemas, workspace
-from sessiongrain.plans import worklist
+from sessiongrain.plans import boundaries, worklist
 from sessiongrain.plans.queries import TURNS_SQL, opened_turns, query, table
 from sessiongrain.sources import byte_lines
 
@@ -141,3 +141,47 @@ def subdivided_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("lang", "source").orderBy("doc_id")) - 1
     d = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "lang", "source", F.floor(place / 8).cast("string")).alias("part"))
     return worklist.subdivide(d, _small_context, "judge", "part", "doc_id", "doc_id", "text").select("id", "depth", "answer", "error")
+
+
+def _careless(system: str, user: str) -> tuple[dict, dict]:
+    """A stand-in model that pairs turns up and, by the number of characters that it is shown, makes mistakes; some of them again when told."""
+    asked = json.loads(user)
+    ids = [t["turn_id"] for t in asked["turns"]]
+    n = len(ids)
+    fault = sum(len(t["content"]) for t in asked["turns"]) % 7
+    if "validation_issues" in asked and not (fault == 2 or fault == 4 and n % 2):
+        fault = 0
+    pairs = [(i, min(i + 1, n - 1)) for i in range(0, n, 2)]
+    if fault == 1:
+        pairs.pop()
+    if fault == 2:
+        pairs[0] = (0, n - 1)
+    if fault == 3:
+        return {"task_episodes": "none"}, {}
+    if fault == 5:
+        raise ValueError("busy")
+    episodes = [{"episode_boundary": {"judgment": "reliable", "start_turn_id": ids[a], "end_turn_id": ids[b]}, "initial_query": {"judgment": "identified", "turn_id": ids[a]}} for a, b in pairs]
+    if fault == 4:
+        episodes[0]["initial_query"]["turn_id"] = "nowhere"
+    return {"task_episodes": episodes}, {}
+
+
+@query("""
+WITH u AS (SELECT conv_id, conv_id || '#' || turn AS id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS p FROM conversations WHERE role = 'user'),
+t AS (SELECT conv_id, count(*) AS n, sum(length(text)) % 7 AS fault, list(id ORDER BY p) AS ids FROM u GROUP BY conv_id),
+f AS (SELECT *, CASE WHEN fault = 1 AND n <= 2 THEN 'structural:task_episodes_empty'
+    WHEN fault = 1 THEN 'structural:uncovered_turns:' || (2 - n % 2) || ':' || array_to_string(ids[n - 1 + n % 2:], ',')
+    WHEN fault = 2 AND n > 2 THEN 'structural:overlap_turns:' || (n - 2) || ':' || array_to_string(ids[3:14], ',')
+    WHEN fault = 3 THEN 'structural:task_episodes_not_array' WHEN fault = 4 THEN 'structural:episode_0:identified_query_unknown'
+    WHEN fault = 5 THEN 'structural:call_failed:ValueError: busy' END AS issue FROM t),
+g AS (SELECT *, issue IS NOT NULL AND (fault = 2 OR (fault = 4 AND n % 2 = 1)) AS whole FROM f),
+e AS (SELECT *, unnest(CASE WHEN whole THEN [0] ELSE range(0, n, 2) END) AS a FROM g)
+SELECT conv_id, (a // 2)::INTEGER AS ord, ids[a + 1] AS start_turn_id, CASE WHEN whole THEN ids[n] ELSE ids[least(a + 2, n)] END AS end_turn_id,
+  CASE WHEN NOT whole THEN ids[a + 1] END AS query_turn_id, CASE WHEN whole THEN 'uncertain' ELSE 'reliable' END AS boundary,
+  CASE WHEN whole THEN 'fallback' WHEN issue IS NULL THEN 'screened' ELSE 'repaired' END AS strategy, coalesce(issue, '') AS initial_issue, CASE WHEN whole THEN issue ELSE '' END AS final_issue FROM e
+""")
+def repaired_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes of the user turns of all conversations, by a model whose mistakes are found, sent back once, and replaced where they stay."""
+    u = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", F.concat_ws("#", "conv_id", "turn").alias("turn_id"), F.col("turn").alias("pos"), F.col("text").alias("content"))
+    got = boundaries.screen_boundaries(u, _careless, "judge", "repair", "conv_id")
+    return got.select("conv_id", "ord", "start_turn_id", "end_turn_id", "query_turn_id", "boundary", "strategy", F.array_join("initial_issues", "|").alias("initial_issue"), F.array_join("final_issues", "|").alias("final_issue"))

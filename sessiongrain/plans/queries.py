@@ -441,7 +441,7 @@ def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH RECURSIVE d AS (SELECT source, doc_id, n_chars AS n, row_number() OVER w AS r, sum(n_chars) OVER w AS upto FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING)),
 b AS (SELECT source, 0 AS bin, r, upto - n AS before FROM d WHERE r = 1
   UNION ALL SELECT d.source, bin + 1, d.r, d.upto - d.n FROM b JOIN d ON d.source = b.source AND d.r > b.r AND d.upto > before + 50000 AND (d.upto - d.n <= before + 50000 OR d.r = b.r + 1))
-SELECT source, bin::INTEGER AS bin, count(*) AS n, sum(n)::BIGINT AS chars FROM d ASOF JOIN b ON d.source = b.source AND d.r >= b.r GROUP BY ALL
+SELECT d.source, bin::INTEGER AS bin, count(*) AS n, sum(n)::BIGINT AS chars FROM d ASOF JOIN b ON d.source = b.source AND d.r >= b.r GROUP BY d.source, bin
 """)
 def prompt_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("source", "doc_id", F.col("n_chars").alias("size"))
