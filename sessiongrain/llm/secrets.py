@@ -42,6 +42,7 @@ RULES = (
 #: A Boolean query: None for "any document", a string for one trigram, ("and" | "or", parts).
 Query = None | str | tuple
 _WIDE = 16
+_PART = 256
 
 
 def _join(op: str, parts: list[Query]) -> Query:
@@ -179,21 +180,30 @@ def candidates(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Leftmost non-overlapping matches as structs (start, order, end), in code points; failing ones dropped.
 
-    The gaps between matches come from a split by the same pattern; starts are sums of gaps and matches.
+    The gaps between matches come from a split by the same pattern; starts are sums of gaps and matches. An
+    array that a fold appends to is copied each time, so matches are taken _PART at a time, each part from its own start.
     """
     pattern = ("(?i)" if rule.any_case else "") + rule.pattern
     empty = F.array().cast("array<struct<start:int,order:int,end:int>>")
+    moved = lambda at, x: at + x["gap"] + F.coalesce(x["n"], F.lit(0))
 
-    def place(found: Column) -> Column:
-        lengths = F.zip_with(F.split(text, pattern, -1), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m["m"]).alias("n"), m["keep"].alias("keep")))
-        start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-
+    def walked(part: Column, at: Column) -> Column:
         def step(acc: Column, x: Column) -> Column:
             begin = acc["at"] + x["gap"]
             here = F.struct(begin.alias("start"), F.lit(order).alias("order"), (begin + x["n"]).alias("end"))
-            return F.struct(F.coalesce(begin + x["n"], begin).alias("at"), F.when(x["keep"], F.concat(acc["out"], F.array(here))).otherwise(acc["out"]).alias("out"))
+            return F.struct(moved(acc["at"], x).alias("at"), F.when(x["keep"], F.concat(acc["out"], F.array(here))).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(part, F.struct(at.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
 
-        return F.aggregate(lengths, start, step, lambda acc: acc["out"])
+    def starts(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), moved))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(totals, first, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def place(found: Column) -> Column:
+        lengths = F.zip_with(F.split(text, pattern, -1), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m["m"]).alias("n"), m["keep"].alias("keep")))
+        parted = lambda xs: F.transform(F.sequence(F.lit(1), F.size(xs), F.lit(_PART)), lambda i: F.slice(xs, i, _PART))
+        return let(lengths, lambda xs: let(parted(xs), lambda parts: F.flatten(F.zip_with(parts, starts(parts), walked))))
 
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     if rule.group:

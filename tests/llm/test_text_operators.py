@@ -438,6 +438,13 @@ def brute_secrets(text):
     return sorted(found)
 
 
+def test_many_secrets_in_one_text(spark):
+    """Places across parts of matches, at and around their size; failing matches between."""
+    texts = ["é ".join((f"{i:024x}" if i % 3 else "abc 12") + ("😀" if i % 5 == 0 else "") for i in range(n)) + " token=abcdef" * (n % 2) for n in (1, 255, 256, 257, 513, 3000)]
+    for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert [(x["start"], x["order"], x["end"]) for x in r["found"] if x["order"] < 3] == brute_secrets(texts[r["doc_id"]])
+
+
 def test_secrets(spark):
     rnd = random.Random(11)
     bits = ["token", "TOKEN", "passwd", "password", "secret", "api_key", "ApiKey", "=", ":", " ", '"', "'", "abcdef", "x", "AKIA", "ABCDEFGHIJ123456", "0123456789abcdef", "😀", "é", "\n", "ghp_" + "a" * 36]
