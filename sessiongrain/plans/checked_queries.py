@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sessiongrain.operators import schemas, workspace
-from sessiongrain.plans import boundaries, worklist
+from sessiongrain.plans import boundaries, reanalysis, worklist
 from sessiongrain.plans.queries import TURNS_SQL, opened_turns, query, table
 from sessiongrain.sources import byte_lines
 
@@ -185,3 +185,68 @@ def repaired_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", F.concat_ws("#", "conv_id", "turn").alias("turn_id"), F.col("turn").alias("pos"), F.col("text").alias("content"))
     got = boundaries.screen_boundaries(u, _careless, "judge", "repair", "conv_id")
     return got.select("conv_id", "ord", "start_turn_id", "end_turn_id", "query_turn_id", "boundary", "strategy", F.array_join("initial_issues", "|").alias("initial_issue"), F.array_join("final_issues", "|").alias("final_issue"))
+
+
+@query("""
+WITH e AS (SELECT 'c' || c_custkey AS p, 'o' || o_orderkey AS c FROM customer JOIN orders ON o_custkey = c_custkey
+  UNION ALL SELECT 'o' || l_orderkey, 'l' || l_orderkey || '.' || l_linenumber FROM lineitem UNION ALL SELECT 's' || l_suppkey, 'l' || l_orderkey || '.' || l_linenumber FROM lineitem),
+z AS (SELECT 'c' || c_custkey AS id, 'changed' AS cause FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 's' || s_suppkey, 'removed' FROM supplier WHERE s_acctbal < 0),
+a AS (SELECT DISTINCT c AS id FROM e JOIN z ON p = id), b AS (SELECT DISTINCT c AS id FROM e JOIN a ON p = id WHERE c NOT IN (SELECT id FROM a))
+SELECT id, 0 AS depth, cause FROM z UNION ALL SELECT id, 1, 'descendant' FROM a UNION ALL SELECT id, 2, 'descendant' FROM b
+""")
+def stale_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What descends from customers whose balance is set to zero and from suppliers that go: their orders and lines, and nothing else."""
+    customers, orders, lines = (table(spark, sf_dir, t) for t in ("customer", "orders", "lineitem"))
+    name = lambda letter, *columns: F.concat(F.lit(letter), F.concat_ws(".", *columns))
+    edge = lambda df, parent, child: df.select(parent.alias("parent_id"), child.alias("child_id"))
+    line = name("l", "l_orderkey", "l_linenumber")
+    edges = edge(orders, name("c", "o_custkey"), name("o", "o_orderkey")).unionByName(edge(lines, name("o", "l_orderkey"), line)).unionByName(edge(lines, name("s", "l_suppkey"), line))
+    suppliers = table(spark, sf_dir, "supplier")
+    prints = lambda c, s: c.select(name("c", "c_custkey").alias("id"), F.sha2(F.col("c_acctbal").cast("string"), 256).alias("digest")).unionByName(s.select(name("s", "s_suppkey").alias("id"), F.sha2(F.col("s_acctbal").cast("string"), 256).alias("digest")))
+    mended = customers.withColumn("c_acctbal", F.when(F.col("c_acctbal") < 0, F.lit(0).cast(customers.schema["c_acctbal"].dataType)).otherwise(F.col("c_acctbal")))
+    return reanalysis.stale(edges, prints(customers, suppliers), prints(mended, suppliers.where("s_acctbal >= 0")))
+
+
+def _failing_on(multiple: int):
+    """A stand-in model that fails of requests whose number is a multiple."""
+
+    def judge(system: str, user: str) -> tuple[dict, dict]:
+        if int(user) % multiple == 0:
+            raise RuntimeError("no answer")
+        return {"events": int(user)}, {}
+
+    return judge
+
+
+@query("""
+WITH u AS (SELECT strftime(ts, '%Y-%m-%d') AS batch_id, user_id, count(*) AS n, bool_or(event_type = 'error') AS bad, arg_max(event_type, event_id) FILTER (event_type IN ('purchase', 'signup')) AS said FROM events GROUP BY ALL)
+SELECT batch_id, count(*) AS n_traces, count(*) AS n_items, count(*) FILTER (n % 6 <> 0) AS n_completed, count(*) FILTER (n % 6 = 0) AS n_failed,
+  CASE WHEN count(*) FILTER (n % 6 = 0) = 0 THEN 'completed' ELSE 'partial' END AS status FROM u WHERE bad AND said = 'purchase' GROUP BY batch_id
+""")
+def reanalysis_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with errors on a day, queued and approved by their last word, prepared and executed; run again for what failed at first."""
+    e = table(spark, sf_dir, "events").withColumns({"batch_id": F.date_format("ts", "yyyy-MM-dd"), "run_id": F.lit("base"), "trace_id": F.col("user_id").cast("string")})
+    e = e.withColumn("queue_id", F.concat_ws("/", "batch_id", "trace_id"))
+    keys = ["batch_id", "run_id", "trace_id"]
+    queue = e.where("event_type = 'error'").select("queue_id", *keys, F.lit(reanalysis.MODE).alias("mode")).distinct()
+    said = e.where("event_type IN ('purchase', 'signup')").select("queue_id", F.when(F.col("event_type") == "purchase", "approved").otherwise("rejected").alias("decision"), F.col("event_id").alias("created_at"))
+    prepared = reanalysis.prepare_reanalysis(queue, said, e.groupBy(*keys).agg(F.count("*").alias("n")), "cycle")
+    first = reanalysis.execute_reanalysis(prepared, _failing_on(3), "verify", "n")
+    second = reanalysis.execute_reanalysis(prepared, _failing_on(6), "verify", "n", first.results)
+    return second.jobs.select("batch_id", "n_traces", "n_items", "n_completed", "n_failed", "status")
+
+
+@query("""
+WITH c AS (SELECT source, arg_max(lang, (n, lang)) AS lang FROM (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL) GROUP BY source),
+d AS (SELECT source, lang, text FROM documents JOIN c USING (source, lang)), v AS (
+SELECT 'model' AS kind, lang AS value FROM d UNION ALL SELECT 'harness', source FROM d UNION ALL SELECT 'gap', unnest(list_distinct(string_split(text, ' '))) FROM d)
+SELECT kind, value, count(*) AS case_count FROM v GROUP BY kind, value
+""")
+def global_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as batches with a run a language: indexes of the active runs, brought up to date from parts that were right for other active runs."""
+    d = table(spark, sf_dir, "documents")
+    index = d.select(F.col("source").alias("batch_id"), F.col("lang").alias("run_id"), F.lit("confirmed").alias("judgment"), F.array("lang").alias("models"), F.array("source").alias("harnesses"), F.array_distinct(F.split("text", " ")).alias("gaps"))
+    sizes = d.groupBy("source", "lang").agg(F.count("*").alias("n")).groupBy(F.col("source").alias("batch_id"))
+    before = sizes.agg(F.max("lang").alias("active_run"))
+    now = sizes.agg(F.max_by("lang", F.struct("n", "lang")).alias("active_run"))
+    return reanalysis.global_indexes(reanalysis.rebuilt_parts(reanalysis.index_parts(index, before), index, now))
