@@ -69,6 +69,47 @@ def quote_checks(quotes: DataFrame, events: DataFrame, event: str = "event_id",
     return joined.withColumn("outcome", F.when(F.col("__body").isNull(), "unknown_event").when(exact, "valid").otherwise("quote_not_exact")).drop("__body")
 
 
+def closest_passage(quote: Column, source: Column, room: int = 80) -> Column:
+    """(quote_start, size, source_start, passage): the longest part of a quote that its source holds, and what stands around it there.
+
+    Starts count from 1 and are 0 where nothing is shared; of equally long parts the first of the quote, where it stands first
+    in the source. A part grows while the source holds it and else moves on by a character, so a quote of n
+    characters costs 2n searches of the source, whatever they share. A null quote or source gives null.
+    """
+    length = F.length(quote)
+
+    def step(state: Column, _: Column) -> Column:
+        longer = F.substr(quote, state["at"], state["size"] + 1)
+        grows = (state["at"] + state["size"] <= length) & F.contains(source, longer)
+        return F.struct(
+            F.when(grows, state["at"]).otherwise(state["at"] + 1).alias("at"),
+            F.when(grows, state["size"] + 1).otherwise(state["size"]).alias("size"),
+            F.when(grows, state["at"]).otherwise(state["best"]).alias("best"),
+        )
+
+    steps = F.filter(F.sequence(F.lit(0), 2 * length), lambda i: i > 0)
+    start = F.struct(F.lit(1).alias("at"), F.lit(0).alias("size"), F.lit(0).alias("best"))
+
+    def shown(found: Column) -> Column:
+        place = F.when(found["size"] > 0, F.position(F.substr(quote, found["best"], found["size"]), source)).otherwise(0)
+        first = F.greatest(place - room, F.lit(1))
+        passage = F.when(found["size"] > 0, F.substr(source, first, place - first + found["size"] + room)).otherwise("")
+        return F.struct(found["best"].alias("quote_start"), found["size"].alias("size"), place.alias("source_start"), passage.alias("passage"))
+
+    return F.when(quote.isNotNull() & source.isNotNull(), F.aggregate(steps, start, step, shown))
+
+
+def citation_feedback(quotes: DataFrame, events: DataFrame, event: str = "event_id", quote: str = "quote", body: str = "body") -> DataFrame:
+    """quotes that are not exact, with `outcome` and `feedback`: what a model is told about them, the closest passage with it."""
+    joined = quotes.join(events.select(event, F.col(body).alias("__body")), event, "left")
+    exact = F.contains(F.col("__body"), F.col(quote)) & (F.length(quote) > 0)
+    wrong = joined.where(~F.coalesce(exact, F.lit(False)))
+    near = closest_passage(F.col(quote), F.col("__body"))
+    told = wrong.withColumn("outcome", F.when(F.col("__body").isNull(), "unknown_event").otherwise("quote_not_exact")).withColumn("__near", near)
+    said = F.when(F.col("__near.size") > 0, F.concat(F.lit("; closest passage: "), F.col("__near.passage"))).when(F.col("__body").isNotNull(), "; nothing of it is in the source").otherwise("")
+    return told.withColumn("feedback", F.concat("outcome", said)).drop("__body", "__near")
+
+
 def keyword_hits(rows: DataFrame, patterns: list[tuple[str, str]], id_col: str, text_col: str, window: int = 40) -> DataFrame:
     """(label, id, start, snippet) for each label whose pattern a text has: its first match with context on both sides.
 

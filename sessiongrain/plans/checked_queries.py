@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sessiongrain.operators import schemas, workspace
+from sessiongrain.operators import evidence, schemas, workspace
 from sessiongrain.plans import boundaries, reanalysis, worklist
 from sessiongrain.plans.queries import TURNS_SQL, opened_turns, query, table
 from sessiongrain.sources import byte_lines
@@ -250,3 +250,19 @@ def global_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = sizes.agg(F.max("lang").alias("active_run"))
     now = sizes.agg(F.max_by("lang", F.struct("n", "lang")).alias("active_run"))
     return reanalysis.global_indexes(reanalysis.rebuilt_parts(reanalysis.index_parts(index, before), index, now))
+
+
+@query("""
+WITH q AS (SELECT doc_id, text, substr(text, 5, 20) || '~' || substr(text, 31, 30) AS quote FROM documents),
+w AS (SELECT doc_id, text, quote, unnest(range(1, length(quote) + 1)) AS i FROM q),
+l AS (SELECT doc_id, text, quote, i, coalesce(list_max([n FOR n IN range(1, length(quote) - i + 2) IF contains(text, substr(quote, i, n))]), 0) AS n FROM w),
+b AS (SELECT doc_id, any_value(text) AS text, any_value(quote) AS quote, max(n) AS n, arg_max(i, (n, -i)) AS i FROM l GROUP BY doc_id),
+p AS (SELECT *, instr(text, substr(quote, i, n)) AS s FROM b WHERE NOT contains(text, quote))
+SELECT doc_id, 'quote_not_exact; closest passage: ' || substr(text, greatest(s - 80, 1), s - greatest(s - 80, 1) + n + 80) AS feedback FROM p WHERE n > 0
+UNION ALL SELECT doc_id, 'quote_not_exact; nothing of it is in the source' FROM p WHERE n = 0
+""")
+def quote_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quote of each document that leaves some of it out, and what a model is told about it."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    quotes = d.select("doc_id", F.concat(F.substring("text", 5, 20), F.lit("~"), F.substring("text", 31, 30)).alias("quote"))
+    return evidence.citation_feedback(quotes, d, "doc_id", "quote", "text").select("doc_id", "feedback")
