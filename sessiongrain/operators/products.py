@@ -67,6 +67,26 @@ def event_text(data: Column) -> Column:
     return F.coalesce(call, at("$.content"), at("$.message"), F.lit(""))
 
 
+#: Fixed value: positions that a window holds where lines of a file are numbered (2 ** 16).
+_LINE_BITS = 16
+
+
+def numbered_lines(rows: DataFrame, file: str, position: str, blank: Column) -> DataFrame:
+    """rows that are not blank, with line (from 1, blank rows counted) and record (from 0, blank rows skipped) in their file, by position.
+
+    Windows hold one bucket of a file's positions, and the counts of its buckets are summed before them: a file of any size is spread over tasks.
+    """
+    bucket = F.coalesce(F.shiftright(position, _LINE_BITS).cast("long"), F.lit((1 << 63) - 1))
+    placed = rows.withColumn("__b", bucket).withColumn("__blank", F.coalesce(blank, F.lit(False)))
+    sizes = placed.groupBy(F.col(file).alias("__file"), F.col("__b").alias("__bucket")).agg(F.count("*").alias("__n"), F.count_if(~F.col("__blank")).alias("__m"))
+    before = Window.partitionBy("__file").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__file", "__bucket", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("__n", "__m")])
+    own = Window.partitionBy(file, "__b").orderBy(F.col(position).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = placed.withColumn("__line", F.count("*").over(own)).withColumn("__record", F.count_if(~F.col("__blank")).over(own)).where("NOT __blank")
+    both = inside.join(offsets, F.col(file).eqNullSafe(F.col("__file")) & (F.col("__b") == F.col("__bucket")))
+    return both.select(*rows.columns, (F.col("__n") + F.col("__line")).alias("line"), (F.col("__m") + F.col("__record") - 1).alias("record"))
+
+
 def source_locations(rows: DataFrame, file: str, turn: str, line: str, record: str) -> DataFrame:
     """(file, turn) -> the line and record where the turn stands; a turn that stands in a file twice raises."""
     found = rows.groupBy(file, turn).agg(F.min(F.struct(line, record)).alias("__at"), F.count("*").alias("__n"))

@@ -54,10 +54,19 @@ def usage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", products.usage_total(F.col("props"), ("k", "output_tokens")).alias("tokens"))
 
 
-@query("SELECT event_type, event_id, event_id + 1 AS line, user_id AS record FROM events")
+@query("""
+WITH e AS (SELECT coalesce(event_type, '') || '/' || coalesce(strftime(ts, '%Y-%m-%d'), '') AS file, event_id, user_id, trim(coalesce(props, '')) = '' AS blank FROM events),
+n AS (SELECT *, row_number() OVER w AS line, count(*) FILTER (NOT blank) OVER w - 1 AS record, first_value(event_id) OVER w AS first_event, first_value(user_id) OVER w AS first_user
+  FROM e WINDOW w AS (PARTITION BY file ORDER BY event_id NULLS LAST ROWS UNBOUNDED PRECEDING))
+SELECT file, event_id, line, record, first_event, first_user FROM n WHERE NOT blank
+""")
 def source_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_type", "event_id", (F.col("event_id") + 1).alias("line"), F.col("user_id").alias("record"))
-    return products.source_locations(e, "event_type", "event_id", "line", "record")
+    """The events of one type and day are the lines of a file: where each turn stands in it, and the event and user of its first line."""
+    file = F.concat(F.coalesce("event_type", F.lit("")), F.lit("/"), F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("")))
+    e = table(spark, sf_dir, "events").select(file.alias("file"), "event_id", "user_id", (F.trim(F.coalesce("props", F.lit(""))) == "").alias("blank"))
+    lines = products.numbered_lines(e, "file", "event_id", F.col("blank"))
+    first = e.groupBy("file").agg(F.min("event_id").alias("first_event"), F.min_by("user_id", "event_id").alias("first_user"))
+    return products.source_locations(lines, "file", "event_id", "line", "record").join(first, "file")
 
 
 @query("""

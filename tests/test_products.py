@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessiongrain.operators import products, selections
-from sessiongrain.plans import client
+from sessiongrain.plans import client, product_queries
 from sessiongrain.sources import adapters, files
 
 
@@ -129,6 +129,21 @@ def test_source_turns_stand_once(spark):
         products.source_locations(rows.union(rows.limit(1)), "file", "turn", "line", "record").collect()
 
 
+def test_lines_of_files_are_numbered_past_blank_ones(spark):
+    rows = [("f", 0, "a"), ("g", 1, "b"), ("f", 2, " "), ("f", 1 << 16, "c"), (None, 3, "d"), ("f", (1 << 16) + 1, ""), ("f", 1 << 17, "e"), ("f", None, "z"), ("g", 7, None)]
+    lines = products.numbered_lines(spark.createDataFrame(rows, "file string, position long, text string"), "file", "position", F.trim("text") == "")
+    got = {(r["file"], r["position"]): (r["line"], r["record"]) for r in lines.collect()}
+    assert got == {("f", 0): (1, 0), ("f", 1 << 16): (3, 1), ("f", 1 << 17): (5, 2), ("f", None): (6, 3), ("g", 1): (1, 0), ("g", 7): (2, 1), (None, 3): (1, 0)}
+
+
+def test_source_locations_number_every_file_of_the_events(spark, tmp_path):
+    e = [(5, "view", 1, 9, "{}"), (6, "view", 1, 8, " "), (7, "view", 1, 7, "{}"), (4, "view", 2, 6, "{}"), (8, "click", 1, 5, "{}")]
+    rows = spark.createDataFrame(e, "event_id long, event_type string, d int, user_id long, props string").withColumn("ts", F.timestamp_seconds(F.col("d") * 86400))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(tuple(r) for r in product_queries.source_locations(spark, str(tmp_path)).select("file", "event_id", "line", "record", "first_event", "first_user").collect())
+    assert got == [("click/1970-01-02", 8, 1, 0, 8, 5), ("view/1970-01-02", 5, 1, 0, 5, 9), ("view/1970-01-02", 7, 3, 1, 5, 9), ("view/1970-01-03", 4, 1, 0, 4, 6)]
+
+
 def test_settings_in_capitals_only(spark):
     said = spark.createDataFrame([("k", "use 512 or x777 please, 900a")], "key string, text string")
     done = spark.createDataFrame([("k", "MAX_LEN = '512' max_len=512 AB=512 LIMIT=777 SIZE: 512 TOP=5120 DEEP=512x")], "key string, text string")
