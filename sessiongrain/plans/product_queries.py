@@ -268,14 +268,20 @@ def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH done AS (SELECT DISTINCT o_custkey, 'STATUS_' || o_orderstatus AS name, CAST(floor(o_totalprice / 100) AS BIGINT)::VARCHAR AS value FROM orders WHERE o_totalprice >= 10000),
-said AS (SELECT DISTINCT o_custkey, CAST(floor(o_totalprice / 100) AS BIGINT)::VARCHAR AS value FROM orders WHERE o_orderpriority = '5-LOW')
-SELECT o_custkey, name, value FROM done SEMI JOIN said USING (o_custkey, value)
+WITH said AS (SELECT DISTINCT o_custkey, CAST(floor(o_totalprice / 100) AS BIGINT)::VARCHAR AS value FROM orders),
+done AS (SELECT o_custkey, 'STATUS_' || o_orderstatus AS name, CAST(floor(o_totalprice / 100) AS BIGINT)::VARCHAR AS value FROM orders
+  UNION SELECT o_custkey, 'FLAG_' || l_returnflag, CAST(floor(l_extendedprice / 100) AS BIGINT)::VARCHAR FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT o_custkey, name, value FROM done SEMI JOIN said USING (o_custkey, value) WHERE regexp_full_match(value, '[0-9]{3,}') AND regexp_full_match(name, '[A-Z][A-Z0-9_]{2,}')
 """)
 def stated_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").withColumn("v", F.floor(F.col("o_totalprice") / 100).cast("string"))
-    done = o.where("o_totalprice >= 10000").select("o_custkey", F.concat(F.lit("set STATUS_"), "o_orderstatus", F.lit(" = \""), "v", F.lit("\" and status="), "v").alias("text"))
-    said = o.where("o_orderpriority = '5-LOW'").select("o_custkey", F.concat(F.lit("please use "), "v", F.lit(" here")).alias("text"))
+    """Every order is a user message that states its total and a tool result that sets it; every line of a customer's orders is a tool result too."""
+    hundreds = lambda c: F.floor(F.col(c) / 100).cast("string")
+    sets = lambda kind, flag, v: F.concat(F.lit(f"set {kind}_"), flag, F.lit(" = \""), v, F.lit(f"\" and {kind.lower()}="), v)
+    o = table(spark, sf_dir, "orders").withColumn("v", hundreds("o_totalprice"))
+    lines = table(spark, sf_dir, "lineitem").join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    done = o.select("o_custkey", sets("STATUS", "o_orderstatus", "v").alias("text"))
+    done = done.unionByName(lines.select("o_custkey", sets("FLAG", "l_returnflag", hundreds("l_extendedprice")).alias("text")))
+    said = o.select("o_custkey", F.concat(F.lit("please use "), "v", F.lit(" here")).alias("text"))
     return selections.stated_settings(said, done, "o_custkey", "text")
 
 

@@ -2,11 +2,12 @@
 
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from sessiongrain.operators import products, selections
-from sessiongrain.plans import client, product_queries
+from sessiongrain.plans import client, product_queries, queries
 from sessiongrain.sources import adapters, files
 
 
@@ -150,6 +151,19 @@ def test_settings_in_capitals_only(spark):
     assert [tuple(r) for r in selections.stated_settings(said, done, "key", "text").collect()] == [("k", "MAX_LEN", "512")]
 
 
+def test_stated_settings_take_every_order_and_line(spark, tmp_path):
+    orders = [(1, 7, "F", 51200.0, "2-HIGH"), (2, 7, "O", 9900.0, "5-LOW"), (3, 8, "P", 77700.0, "5-LOW"), (4, 9, "f", 88800.0, "1-URGENT"), (5, 9, None, 66600.0, "5-LOW")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(2, "R", 51250.0), (2, "N", 9950.0), (3, "A", 51200.0), (4, "A", 66610.0), (99, "A", 51200.0), (3, "N", None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_returnflag string, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted(tuple(r) for r in product_queries.stated_settings(spark, str(tmp_path)).select("o_custkey", "name", "value").collect())
+    assert got == [(7, "FLAG_R", "512"), (7, "STATUS_F", "512"), (8, "STATUS_P", "777"), (9, "FLAG_A", "666")]
+    con = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    assert sorted(con.sql(queries.SQL["stated_settings"]).fetchall()) == got
+
+
 def test_settings_and_tables(spark, tmp_path):
     assert files.read_settings("# c\nexport A='1'\nB=2\nbad\nA=3", {"B": "own"}) == {"A": "1", "B": "own"}
     toml = '[providers.p]\nbase_url = "u"\nmodel = "m"\n'
