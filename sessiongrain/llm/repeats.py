@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,26 +12,16 @@ from pyspark.sql import functions as F
 
 from sessiongrain.llm.common import ROW, bounded_batches, cut, discard, read_table, release, with_row_id
 from sessiongrain.llm.near_duplicates import text_buffers
-from sessiongrain.llm.phrases import GRAM, SPAN, digests, phrases
+from sessiongrain.llm.passages import shared_passages
+from sessiongrain.llm.phrases import BASE, GRAM, SPAN, TABLE, digests, hasher, phrases, pieces
 
 LENGTH = 400
+#: Passages of over 50 words that another text holds are reported beside what is removed.
+PASSAGE_WORDS = 51
 #: Cores that more dictionary phrases share than this are resolved by shuffles of blocks and single windows.
 LOCAL_PHRASES = 512
 #: Window places of one block where a crowded core is resolved.
 BLOCK = 16
-_CHUNK_BYTES = 1 << 20
-
-_TABLE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-
-
-def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about _CHUNK_BYTES, or of one longer text."""
-    first = 0
-    while first < len(offsets) - 1:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + _CHUNK_BYTES, "right")) - 1)
-        yield first, last
-        first = last
 
 
 def parse(rows: DataFrame, length: int, span: int, core: int) -> DataFrame:
@@ -45,7 +35,7 @@ def parse(rows: DataFrame, length: int, span: int, core: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column(2))
-            for first, last in _pieces(offsets):
+            for first, last in pieces(offsets):
                 part, at = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
                 text, a, b, t = phrases(part, at, length, span)
                 base = at[text]
@@ -57,13 +47,7 @@ def parse(rows: DataFrame, length: int, span: int, core: int) -> DataFrame:
 
 
 def _window_hashes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Polynomial hashes of data[start : start + length) for all starts, by prefix sums modulo 2**64."""
-    with np.errstate(over="ignore"):
-        power = np.concatenate([np.ones(1, np.uint64), np.full(len(data), _BASE, np.uint64)]).cumprod(dtype=np.uint64)
-        back = np.concatenate([np.ones(1, np.uint64), np.full(len(data), pow(_BASE, -1, 1 << 64), np.uint64)]).cumprod(dtype=np.uint64)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * power[:-1], dtype=np.uint64)])
-        h = (sums[starts + length] - sums[starts]) * back[starts]
-        return h ^ (h >> np.uint64(32))
+    return hasher(TABLE[data])(starts, starts + length)
 
 
 def _windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +152,7 @@ def _blocks(length: int):
                 inner = digests(data, trigger - block * BLOCK, trigger - block * BLOCK + length - BLOCK + 1, 3)
                 outer = digests(data, trigger - first, trigger - last + length, 4)
                 with np.errstate(over="ignore"):
-                    outer ^= (first * BLOCK + last % BLOCK).astype(np.uint64) * np.uint64(_BASE)
+                    outer ^= (first * BLOCK + last % BLOCK).astype(np.uint64) * np.uint64(BASE)
                 at = a[owner] + high[owner]
                 keys = [batch.column(i).take(pa.array(owner)) for i in (0, 1, 2, 4)]
                 yield pa.RecordBatch.from_arrays(
@@ -280,19 +264,34 @@ def _fetched(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [*ROW, "a", "t", "core", "bytes", "few"])
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", local: int = LOCAL_PHRASES, span: int | None = None) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (array of from, to, in bytes), kept (binary).
+def _merged(spans: Iterable[tuple[int, int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for s in sorted(spans):
+        if out and s[0] <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], s[1])
+        else:
+            out.append(list(s))
+    return out
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", local: int = LOCAL_PHRASES, span: int | None = None, passage_words: int | None = None) -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (array of from, to, in bytes), kept (binary), n_passages, n_passage_words.
 
     Every byte covered by a `length`-byte string that also starts elsewhere in the corpus, the same text
     included, is removed; overlapping copies count, matches never cross texts, and strings are judged on the
     input. Null texts are empty; texts shorter than `length` stay; a text's equal copy removes both; null
-    and repeated ids are carried; empty in, empty out.
+    and repeated ids are carried; empty in, empty out. n_passages and n_passage_words count the maximal runs of words, and
+    their words, that `passage_words` successive words of another row cover (null without that setting); a passage
+    can be shorter than `length` bytes, and what only this row repeats is none. They do not change what is removed.
     """
     bounded_batches(docs.sparkSession, 500)
     rows = with_row_id(docs).select(*ROW, F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    spans = cut(repeated_spans(rows, length, local, span), "covered")
+    spans = cut(repeated_spans(rows, length, local, span), "covered").withColumn("words", F.lit(False))
     release(docs.sparkSession)
-    mine = spans.groupBy(*ROW).agg(F.collect_list(F.struct("from", "to")).alias("spans"))  # a text's own spans
+    if passage_words is not None:
+        spans = spans.unionByName(cut(shared_passages(rows, passage_words), "passages").withColumn("words", F.lit(True)))
+        release(docs.sparkSession)
+    mine = spans.groupBy(*ROW).agg(F.collect_list(F.struct("from", "to", "words")).alias("spans"))  # a text's own spans
     both = rows.join(mine.hint("shuffle_hash"), ROW, "left").select("doc_id", "text", "spans")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,28 +299,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             out = []
             for doc_id, text, found in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 raw = text.encode()
-                merged: list[list[int]] = []
-                for s in sorted((s["from"], s["to"]) for s in found or ()):
-                    if merged and s[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s[1])
-                    else:
-                        merged.append(list(s))
+                merged, passages = [_merged((s["from"], s["to"]) for s in found or () if s["words"] == words) for words in (False, True)]
                 edges = [0, *[x for s in merged for x in s], len(raw)]
                 kept = b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-                out.append((doc_id, len(raw), len(raw) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), [{"from": a, "to": b} for a, b in merged], kept))
-            kinds = (batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])), pa.binary())
+                counts = (None, None) if passage_words is None else (len(passages), sum(b - a for a, b in passages))
+                out.append((doc_id, len(raw), len(raw) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), [{"from": a, "to": b} for a, b in merged], kept, *counts))
+            kinds = (batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])), pa.binary(), pa.int64(), pa.int64())
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept", "n_passages", "n_passage_words"]
     kind = docs.schema[id_col].dataType.simpleString()
-    return both.mapInArrow(finish, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<from: int, to: int>>, kept binary")
+    return both.mapInArrow(finish, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<from: int, to: int>>, kept binary, n_passages long, n_passage_words long")
 
 
 def op3_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeats(read_table(spark, sf_dir, "documents"))
+    found = remove_repeats(read_table(spark, sf_dir, "documents"), passage_words=PASSAGE_WORDS)
     kept = F.octet_length("kept").cast("long")
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", kept.alias("n_kept"), (F.col("n_removed") > 0).alias("removed"), "spans")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", kept.alias("n_kept"), (F.col("n_removed") > 0).alias("removed"), "spans", "n_passages", "n_passage_words")
 
 
 assert GRAM <= LENGTH - SPAN

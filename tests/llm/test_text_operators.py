@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessiongrain.llm import decontamination as dc
-from sessiongrain.llm import licenses, line_runs, mixing, quality, repeats, secrets
+from sessiongrain.llm import licenses, line_runs, mixing, passages, quality, repeats, secrets
 from sessiongrain.llm import token_counts as tc
 from sessiongrain.llm import token_files as tf
 
@@ -61,6 +61,51 @@ def test_repeats_equal_brute_force(spark, length, local):
     assert sorted(got, key=repr) == brute_repeats(docs, length)
 
 
+def brute_passages(docs, words):
+    """Words of each row that `words` successive words of another row cover: (row's id, maximal runs, words)."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in docs]
+    rows = collections.defaultdict(set)
+    for k, w in enumerate(split):
+        for i in range(len(w) - words + 1):
+            rows[tuple(w[i : i + words])].add(k)
+    out = []
+    for (d, _), w in zip(docs, split, strict=True):
+        mark = [False] * len(w)
+        for i in range(len(w) - words + 1):
+            if len(rows[tuple(w[i : i + words])]) > 1:
+                mark[i : i + words] = [True] * words
+        out.append((d, sum(1 for i in range(len(mark)) if mark[i] and (i == 0 or not mark[i - 1])), sum(mark)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("words", "span"), [(2, None), (5, None), (6, 2), (8, 7)])
+def test_passages_equal_brute_force(spark, words, span):
+    rnd = random.Random(words)
+    docs = [(i, "".join(rnd.choice("abcé") + rnd.choice([" ", "\n", "  ", "\t"]) for _ in range(rnd.randint(0, 60)))) for i in range(40)]
+    some = docs[3][1]
+    docs += [(100, None), (101, ""), (102, " \n"), (103, "x y z " * 20), (104, "p " * 40), (105, "p " * 30 + "q"), (106, some), (106, some + " "), (None, "\x0b" + some.replace(" ", "\r")), (107, "\x1c \x85 a\xa0b " * 6), (108, "u v w " * 9 + some + "u v w " * 9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = repeats.with_row_id(df).select("doc_id", *repeats.ROW, F.coalesce("text", F.lit("")).alias("text"))
+    spans = collections.defaultdict(set)
+    for r in passages.shared_passages(rows, words, span).collect():
+        spans[r[0], r[1]] |= set(range(r["from"], r["to"]))
+    got = []
+    for r in rows.collect():
+        at = spans[r[1], r[2]]
+        got.append((r["doc_id"], sum(1 for i in at if i - 1 not in at), len(at)))
+    assert sorted(got, key=repr) == brute_passages(docs, words)
+    assert sorted([(r["doc_id"], r["n_passages"], r["n_passage_words"]) for r in repeats.remove_repeats(df, 40, passage_words=words).collect()], key=repr) == brute_passages(docs, words)
+
+
+def test_short_passages_are_reported_and_stay(spark, tmp_path):
+    """A passage of 51 words under 400 bytes that two documents hold is named by op3; the contract lets its bytes stay."""
+    word = lambda k, n: " ".join(hashlib.sha256(f"{k} {i}".encode()).hexdigest()[:5] for i in range(n))
+    texts = [f"{word('a', 80)} {word('p', 51)} {word('b', 9)}", f"{word('c', 20)}\n{word('p', 51)}", f"{word('d', 90)} {word('p', 50)} {word('e', 9)}", word("f", 200), f"{word('g', 60)} {word('h', 3)} {word('g', 60)}", word("i", 10), None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_removed"], r["n_passages"], r["n_passage_words"]) for r in repeats.op3_repeated_substrings(spark, str(tmp_path)).collect()}
+    assert got == {0: (0, 1, 51), 1: (0, 1, 51), 2: (0, 0, 0), 3: (0, 0, 0), 4: (0, 0, 0), 5: (0, 0, 0), 6: (0, 0, 0)}
+
+
 def test_repeats_of_nothing(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string"), 40).count() == 0
 
