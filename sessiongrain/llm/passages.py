@@ -69,7 +69,7 @@ def shared_passages(rows: DataFrame, words: int, span: int | None = None) -> Dat
     Counts are minima and maxima, so no core, phrase or window binds its rows to one task. Equality is that of 64-bit
     hashes of words and windows within one 64-bit hash of the core.
     """
-    span = span or words * 3 // 5
+    span = span or max(1, words * 4 // 5)
     if not 0 < span < words:
         raise ValueError("passages of two words at least, with triggers among fewer places")
     bounded_batches(rows.sparkSession, 500)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -264,14 +265,15 @@ def _fetched(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [*ROW, "a", "t", "core", "bytes", "few"])
 
 
-def _merged(spans: Iterable[tuple[int, int]]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for s in sorted(spans):
-        if out and s[0] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], s[1])
-        else:
-            out.append(list(s))
-    return out
+def _merged(owner: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of each owner joined where they meet: (owner, from, to), in order."""
+    order = np.lexsort((begin, owner))
+    high = owner[order] << 32  # an owner's places are above all of those before it
+    begin, end = high | begin[order], np.maximum.accumulate(high | end[order])
+    new = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]])) if len(begin) else np.zeros(0, np.int64)
+    last = np.concatenate([new[1:], [len(begin)]])[: len(new)] - 1
+    low = (1 << 32) - 1
+    return begin[new] >> 32, begin[new] & low, end[last] & low
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", local: int = LOCAL_PHRASES, span: int | None = None, passage_words: int | None = None) -> DataFrame:
@@ -296,17 +298,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc_id, text, found in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                raw = text.encode()
-                merged, passages = [_merged((s["from"], s["to"]) for s in found or () if s["words"] == words) for words in (False, True)]
-                edges = [0, *[x for s in merged for x in s], len(raw)]
-                kept = b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-                counts = (None, None) if passage_words is None else (len(passages), sum(b - a for a, b in passages))
-                out.append((doc_id, len(raw), len(raw) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), [{"from": a, "to": b} for a, b in merged], kept, *counts))
-            kinds = (batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])), pa.binary(), pa.int64(), pa.int64())
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+            n = batch.num_rows
+            data, offsets = text_buffers(batch.column(1))
+            found = batch.column(2)
+            owner, flat = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(found), 0).to_numpy()), found.flatten()
+            begin, end, word = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            begin, end = begin.astype(np.int64), end.astype(np.int64)
+            (at, a, b), passages = [_merged(owner[word == k], begin[word == k], end[word == k]) for k in (False, True)]
+            sums = lambda at, x: np.bincount(at, x, n).astype(np.int64)
+            first, runs, kept = np.searchsorted(at, np.arange(n + 1)), np.stack([a, b], 1), []
+            for k in range(n):
+                raw = data[offsets[k] : offsets[k + 1]].tobytes()
+                edges = [0, *runs[first[k] : first[k + 1]].reshape(-1).tolist(), len(raw)]
+                kept.append(b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)))
+            counts = [pa.nulls(n, pa.int64())] * 2 if passage_words is None else [pa.array(sums(passages[0], x)) for x in (None, passages[2] - passages[1])]
+            spans_ = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (a, b)], ["from", "to"]))
+            digest = pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), pa.array(sums(at, b - a)), pa.array(sums(at, None)), digest, spans_, pa.array(kept, pa.binary()), *counts], names)
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept", "n_passages", "n_passage_words"]
     kind = docs.schema[id_col].dataType.simpleString()
